@@ -30,7 +30,10 @@ def with_views(sql: str) -> str:
     if not needed:
         return sql
     ctes = ",\n".join(f"{name} AS (\n{VIEWS[name].strip()}\n)" for name in needed)
-    return f"WITH {ctes}\n{sql.strip()}"
+    body = sql.strip()
+    if body.upper().startswith("WITH "):
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

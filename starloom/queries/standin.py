@@ -290,6 +290,26 @@ def stg_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_products(raw_products(spark, sf_dir))
 
 
+def raw_dirty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part, some without id, some with prices that are no number."""
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        F.when(k % 11 == 0, "").otherwise(text(k)).alias("Product_id"),
+        F.concat(F.lit(" "), "p_name").alias("Product_name"),
+        F.translate("p_type", " ", "_").alias("Product_type"),
+        F.when(k % 6 == 0, "free").when(k % 6 == 1, "inf").otherwise(
+            text("p_retailprice")).alias("Price"), pos(0, k))
+
+
+def raw_dirty_line_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every product line, some without order, some without product."""
+    return lines(spark, sf_dir).select(
+        F.when(F.col("l_linenumber") == 2, "").otherwise(text("l_orderkey")).alias("Order_id"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("Product_name"),
+        F.when(F.col("l_partkey") % 5 != 0, text("l_partkey")).alias("Product_id"),
+        S.POSITION)
+
+
 # -- star schema -----------------------------------------------------------------------
 # Dimensions are published tables that several facts read, so a session builds them once.
 

@@ -33,13 +33,7 @@ FROM part
 """)
 def validate_products(spark, sf_dir):
     """Products with blank ids and prices such as "free" or "inf"."""
-    k = F.col("p_partkey")
-    raw = st.table(spark, sf_dir, "part").select(
-        F.when(k % 11 == 0, "").otherwise(st.text(k)).alias("Product_id"),
-        F.concat(F.lit(" "), "p_name").alias("Product_name"),
-        F.translate("p_type", " ", "_").alias("Product_type"),
-        F.when(k % 6 == 0, "free").when(k % 6 == 1, "inf").otherwise(
-            st.text("p_retailprice")).alias("Price"), st.pos(0, k))
+    raw = st.raw_dirty_products(spark, sf_dir)
     return st.money_as_double(_reasons_as_text(staging.check_products(raw)), "price")
 
 
@@ -52,11 +46,7 @@ SELECT CASE WHEN l_linenumber <> 2 THEN l_orderkey::VARCHAR END AS order_id,
 FROM lineitem
 """)
 def validate_line_products(spark, sf_dir):
-    raw = st.lines(spark, sf_dir).select(
-        F.when(F.col("l_linenumber") == 2, "").otherwise(st.text("l_orderkey")).alias("Order_id"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("Product_name"),
-        F.when(F.col("l_partkey") % 5 != 0, st.text("l_partkey")).alias("Product_id"),
-        S.POSITION)
+    raw = st.raw_dirty_line_products(spark, sf_dir)
     return _reasons_as_text(staging.check_line_products(raw))
 
 
