@@ -43,7 +43,7 @@ def number_in_group(
         Window.unboundedPreceding, -1)
     carry = sizes.withColumn("_carry_n", F.sum("_n").over(earlier)).filter(
         F.col("_carry_n").isNotNull())
-    local = F.row_number().over(Window.partitionBy(*keys, _BLOCK).orderBy(position))
+    local = F.row_number().over(Window.partitionBy(*keys, _BLOCK).orderBy(f"{position}.row"))
     numbered = _with_carry(rows.withColumn("_local", local), carry, keys)
     return numbered.withColumn(
         out, (F.col("_local") + F.coalesce(F.col("_carry_n"), F.lit(0))).cast("bigint")

@@ -6,8 +6,6 @@ matched on their unique position instead of on the id. No step gathers all copie
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +13,9 @@ from starloom import schemas as S
 from starloom.functions import flag_is_true
 
 
-def dedup_exact(df: DataFrame, ignore: Sequence[str] = (S.POSITION,)) -> DataFrame:
-    """Drop rows that are equal in all columns (NULL equals NULL); the first position is kept."""
-    data = [c for c in df.columns if c not in ignore]
-    if S.POSITION in df.columns and S.POSITION in ignore:
-        return df.groupBy(*data).agg(F.min(S.POSITION).alias(S.POSITION)).select(*df.columns)
-    return df.select(*data).distinct()
+def dedup_exact(df: DataFrame) -> DataFrame:
+    """Drop rows that are equal in all columns (NULL equals NULL); positions do not count."""
+    return df.drop(S.POSITION).distinct()
 
 
 def _flag(df: DataFrame, id_col: str, master: Column, position: str) -> DataFrame:

@@ -33,14 +33,14 @@ def dense_keys(
     partition i+1 and the running id of a row inside its partition is its local number. This
     layout is written once (re-running the sampling of a range partitioning could move the
     borders), then one count per partition turns local into global numbers. The driver sees as
-    many numbers as there are partitions.
+    many numbers as there are partitions. Without ``partitions`` the session's shuffle setting
+    applies and small neighbouring ranges are merged, which keeps their order.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    ranged = (df.repartitionByRange(partitions, *cols) if partitions
+              else df.repartitionByRange(*cols))
     laid_out = materialise(
-        df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-        .withColumn("_rid", F.monotonically_increasing_id()),
+        ranged.sortWithinPartitions(*cols).withColumn("_rid", F.monotonically_increasing_id()),
         name)
     part = F.shiftright("_rid", _ROW_BITS).cast("int")
     counts = {r["p"]: r["n"] for r in laid_out.groupBy(part.alias("p")).agg(

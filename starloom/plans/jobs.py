@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from starloom import schemas as S
 from starloom.operators import validate
 from starloom.plans import dims, facts, staging
 from starloom.plans.load import Warehouse
+from starloom.session import side_by_side
 from starloom.sources import Source, read_source
 
 _MANY = {
@@ -44,12 +46,10 @@ def stage(table: str, slices: Sequence[DataFrame]) -> DataFrame:
 
 
 def load_staging(wh: Warehouse, sources: Mapping[str, Sequence[Source]]) -> dict[str, dict]:
-    """Read, clean and replace staging tables from their source files."""
-    done = {}
-    for table, specs in sources.items():
-        slices = [read_source(wh.spark, spec, n) for n, spec in enumerate(specs)]
-        done[table] = wh.full_refresh(table, stage(table, slices))
-    return done
+    """Read, clean and replace staging tables from their source files, all at once."""
+    return wh.full_refresh_all({
+        table: stage(table, [read_source(wh.spark, spec, n) for n, spec in enumerate(specs)])
+        for table, specs in sources.items()})
 
 
 @dataclass
@@ -59,7 +59,9 @@ class Calendar:
 
 
 def _staged(wh: Warehouse, table: str) -> DataFrame:
-    fields = [*S.STAGING[table].fields, T.StructField(S.POSITION, S.POSITION_TYPE)]
+    fields = list(S.STAGING[table].fields)
+    if table in S.ORDERED_TABLES:
+        fields.append(T.StructField(S.POSITION, S.POSITION_TYPE))
     return wh.read(table, T.StructType(fields))
 
 
@@ -87,13 +89,16 @@ def rebuild(
             validate.refuse_if_any(report, f"{table} breaks its keys")
         return out
 
-    stg = {t: _staged(wh, t) for t in S.STAGING}
-    star = {"dim_date": put("dim_date", dims.dim_date(spark, calendar.start, calendar.end))}
-    star["dim_user"] = put("dim_user", dims.dim_user(stg["stg_user_data"], stg["stg_user_job"]))
-    star["dim_merchant"] = put("dim_merchant", dims.dim_merchant(stg["stg_merchant_data"]))
-    star["dim_staff"] = put("dim_staff", dims.dim_staff(stg["stg_staff_data"]))
-    star["dim_product"] = put("dim_product", dims.dim_product(stg["stg_product_list"]))
-    star["dim_campaign"] = put("dim_campaign", dims.dim_campaign(stg["stg_campaign_data"]))
+    stg = {t: _staged(wh, t) for t in S.STAGING if t != "stg_user_credit_card"}
+    plans = {
+        "dim_date": lambda: dims.dim_date(spark, calendar.start, calendar.end),
+        "dim_user": lambda: dims.dim_user(stg["stg_user_data"], stg["stg_user_job"]),
+        "dim_merchant": lambda: dims.dim_merchant(stg["stg_merchant_data"]),
+        "dim_staff": lambda: dims.dim_staff(stg["stg_staff_data"]),
+        "dim_product": lambda: dims.dim_product(stg["stg_product_list"]),
+        "dim_campaign": lambda: dims.dim_campaign(stg["stg_campaign_data"]),
+    }
+    star = dict(zip(plans, side_by_side([partial(lambda t: put(t, plans[t]()), t) for t in plans])))
 
     head = facts.order_headers(
         stg["stg_order_data"], stg["stg_order_with_merchant_data"],

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 
 from starloom import schemas as S
 from starloom.operators import validate
+from starloom.operators.headers import fill_missing_columns
+from starloom.session import side_by_side
 
 _LOG = T.StructType([
     T.StructField("seq", T.LongType()),
@@ -76,24 +79,34 @@ class Warehouse:
         """Make written folders visible together."""
         top = self._log().agg(F.max("seq").alias("top")).first()["top"]
         seq = 1 if top is None else int(top) + 1
-        rows = [(seq, table, path, mode) for table, path in sorted(written.items())]
-        (self.spark.createDataFrame(rows, _LOG).coalesce(1)
-         .write.mode("append").json(self._log_path))
+        records = F.array(*[
+            F.struct(F.lit(seq), F.lit(table), F.lit(path), F.lit(mode))
+            for table, path in sorted(written.items())])
+        entry = self.spark.range(0, 1, 1, 1).select(F.inline(records)).toDF(*_LOG.fieldNames())
+        entry.write.mode("append").json(self._log_path)
 
     # -- load modes --------------------------------------------------------------------
     def full_refresh(self, table: str, df: DataFrame) -> dict:
         """Replace a table as a whole, after its constraints hold on the written files."""
-        path, n = self.write(table, df)
-        self._refuse_bad(table, self.spark.read.parquet(path))
-        self.publish({table: path})
-        return {"table": table, "rows_loaded": n}
+        return self.full_refresh_all({table: df})[table]
+
+    def full_refresh_all(self, frames: Mapping[str, DataFrame]) -> dict[str, dict]:
+        """Replace several independent tables; they become visible together."""
+        def load(table: str) -> tuple[str, int]:
+            path, n = self.write(table, frames[table])
+            self._refuse_bad(table, self.spark.read.parquet(path))
+            return path, n
+
+        done = dict(zip(frames, side_by_side([partial(load, t) for t in frames])))
+        self.publish({t: path for t, (path, _) in done.items()})
+        return {t: {"table": t, "rows_loaded": n} for t, (_, n) in done.items()}
 
     def append(self, table: str, df: DataFrame) -> dict:
         """Append a batch. An empty batch publishes nothing; a key conflict refuses the batch."""
         if df.isEmpty():
             return {"table": table, "rows_loaded": 0}
         current = self.read(table, df.schema)
-        path, n = self.write(table, self._after(current, df))
+        path, n = self.write(table, self._fit(table, current, df))
         batch = self.spark.read.parquet(path)
         for key in S.UNIQUE.get(table, ()):
             clash = batch.select(key).join(current.select(key), key, "left_semi").select(
@@ -114,23 +127,29 @@ class Warehouse:
         batch_path, _ = self.write(f"{table}_checked", checked)
         batch = self.spark.read.parquet(batch_path)
         good = validate.accepted(batch)
+        if table not in S.ORDERED_TABLES:
+            good = good.drop(S.POSITION)
         current = self.read(table, good.schema)
-        good_path, n_good = self.write(table, self._after(current, good))
+        good_path, n_good = self.write(table, self._fit(table, current, good))
         bad_path, n_bad = self.write(f"{table}_rejects", validate.rejected(batch))
         self.publish({table: good_path, f"{table}_rejects": bad_path}, "append")
         return {"table": table, "rows_loaded": n_good, "rows_rejected": n_bad}
 
     # -- helpers -----------------------------------------------------------------------
-    def _after(self, current: DataFrame, batch: DataFrame) -> DataFrame:
-        """Batch positions moved behind everything that is already in the table."""
-        if S.POSITION not in batch.columns or S.POSITION not in current.columns:
-            return batch
+    def _fit(self, table: str, current: DataFrame, batch: DataFrame) -> DataFrame:
+        """Batch with exactly the table's columns, positioned behind what is already there."""
+        unknown = [c for c in batch.columns if c not in current.columns]
+        if unknown:
+            raise ValueError(f"batch for {table} has unknown columns {unknown}")
+        fitted = fill_missing_columns(batch, current.schema).select(*current.columns)
+        if S.POSITION not in current.columns:
+            return fitted
         top = current.agg(F.max(f"{S.POSITION}.slice").alias("top")).first()["top"]
         if top is None:
-            return batch
+            return fitted
         moved = F.col(S.POSITION).withField(
             "slice", (F.col(f"{S.POSITION}.slice") + int(top) + 1).cast("int"))
-        return batch.withColumn(S.POSITION, moved)
+        return fitted.withColumn(S.POSITION, moved)
 
     def _refuse_bad(self, table: str, df: DataFrame) -> None:
         unique, not_null = S.UNIQUE.get(table, ()), S.NOT_NULL.get(table, ())

@@ -1,6 +1,7 @@
 """Staging rules, one function per staging table.
 
-Input: source columns plus position, headers as found. Output: the staging schema plus position.
+Input: source columns plus position, headers as found. Output: the staging schema, plus the
+position in tables whose load order matters later.
 Functions that validate return rows with a ``reject_reasons`` array; ``validate.accepted`` and
 ``validate.rejected`` split it.
 """
@@ -25,6 +26,12 @@ def _prepared(df: DataFrame, table: str, skip: Sequence[str] = ()) -> DataFrame:
     return headers.require_columns(df, required, table)
 
 
+def _staged(df: DataFrame, table: str) -> DataFrame:
+    """Declared columns; the position stays only where load order matters later."""
+    return headers.conform(
+        df, S.STAGING[table], [S.POSITION] if table in S.ORDERED_TABLES else [])
+
+
 def clean_orders(df: DataFrame) -> DataFrame:
     """Order columns cleaned and typed; bad values are NULL, no row is dropped."""
     source = df.schema["estimated_arrival"].dataType
@@ -34,8 +41,7 @@ def clean_orders(df: DataFrame) -> DataFrame:
         "estimated_arrival": fn.digits_to_int(F.col("estimated_arrival"), source),
         "transaction_date": fn.to_stamp(F.col("transaction_date")),
     })
-    return headers.conform(
-        cleaned, S.STAGING["stg_order_data"], [S.POSITION])
+    return headers.conform(cleaned, S.STAGING["stg_order_data"])
 
 
 def check_orders(df: DataFrame) -> DataFrame:
@@ -46,7 +52,7 @@ def check_orders(df: DataFrame) -> DataFrame:
 
 def late_orders(df: DataFrame) -> DataFrame:
     """A late or new order batch: cleaned, but bad values are kept as NULL."""
-    return clean_orders(_prepared(df, "stg_order_data"))
+    return clean_orders(_prepared(df, "stg_order_data")).drop(S.POSITION)
 
 
 def stage_orders(slices: Sequence[DataFrame]) -> DataFrame:
@@ -58,14 +64,14 @@ def stage_orders(slices: Sequence[DataFrame]) -> DataFrame:
 def fuzzy_orders(df: DataFrame) -> DataFrame:
     """Hand-made order files: headers found by words, missing columns NULL, nothing rejected."""
     found = headers.fuzzy_headers(headers.drop_junk_columns(df))
-    return clean_orders(headers.fill_missing_columns(found, S.STAGING["stg_order_data"]))
+    filled = headers.fill_missing_columns(found, S.STAGING["stg_order_data"])
+    return clean_orders(filled).drop(S.POSITION)
 
 
 def stage_delays(df: DataFrame) -> DataFrame:
     prepared = _prepared(df, "stg_order_delays")
     days = F.col("delay_in_days").cast("string").try_cast("double").try_cast("int")
-    return headers.conform(
-        prepared.withColumn("delay_in_days", days), S.STAGING["stg_order_delays"])
+    return _staged(prepared.withColumn("delay_in_days", days), "stg_order_delays")
 
 
 def check_line_products(df: DataFrame) -> DataFrame:
@@ -86,7 +92,7 @@ def _line_prices(df: DataFrame) -> DataFrame:
         "price": fn.decimal_from_text(F.col("price")),
         "quantity": fn.digits_to_int(F.col("quantity"), source),
     })
-    return headers.conform(cleaned, S.STAGING["stg_line_item_data_prices"])
+    return _staged(cleaned, "stg_line_item_data_prices")
 
 
 def stage_line_prices(slices: Sequence[DataFrame]) -> DataFrame:
@@ -99,8 +105,8 @@ def stage_order_links(slices: Sequence[DataFrame]) -> DataFrame:
     linked = headers.union_by_name_text(cleaned)
     linked = headers.require_columns(
         linked, S.STAGING["stg_order_with_merchant_data"].fieldNames(), "order links")
-    texts = [c for c in linked.columns if c != S.POSITION]
-    return linked.withColumns({c: fn.nullif_blank(F.col(c)) for c in texts})
+    linked = linked.drop(S.POSITION)
+    return linked.withColumns({c: fn.nullif_blank(F.col(c)) for c in linked.columns})
 
 
 def stage_campaigns(df: DataFrame) -> DataFrame:
@@ -111,7 +117,7 @@ def stage_campaigns(df: DataFrame) -> DataFrame:
         "discount": fn.discount(F.col("discount")),
         "campaign_description": fn.strip_quotes(F.col("campaign_description")),
     })
-    return headers.conform(cleaned, S.STAGING["stg_campaign_data"])
+    return _staged(cleaned, "stg_campaign_data")
 
 
 def stage_campaign_links(df: DataFrame, day_only: bool = False) -> DataFrame:
@@ -131,7 +137,7 @@ def stage_campaign_links(df: DataFrame, day_only: bool = False) -> DataFrame:
         "transaction_date": stamp,
         "availed": fn.flag_int(F.col("availed")),
     })
-    return headers.conform(cleaned, schema)
+    return _staged(cleaned, "stg_transactional_campaign_data")
 
 
 _FLAGS = ("possible_duplicate", "possible_duplicate_of")
@@ -144,7 +150,7 @@ def stage_users(df: DataFrame) -> DataFrame:
         "birthdate": fn.to_date_lenient(F.col("birthdate")),
     })
     flagged = dedup.soft_dedup_latest(cleaned, "user_id")
-    return headers.conform(flagged, S.STAGING["stg_user_data"])
+    return _staged(flagged, "stg_user_data")
 
 
 def stage_user_jobs(df: DataFrame) -> DataFrame:
@@ -152,26 +158,24 @@ def stage_user_jobs(df: DataFrame) -> DataFrame:
     cleaned = trimmed.withColumn(
         "job_level", fn.default_text(F.col("job_level"), S.MISSING_LEVEL))
     flagged = dedup.soft_dedup_file_order(cleaned, "user_id")
-    return headers.conform(flagged, S.STAGING["stg_user_job"])
+    return _staged(flagged, "stg_user_job")
 
 
 def stage_flagless(df: DataFrame, table: str) -> DataFrame:
     """Hand-made user and job batches: missing columns NULL, marked as no duplicates."""
     named = headers.normalise_headers(headers.drop_junk_columns(df))
     filled = headers.constant_flags(headers.fill_missing_columns(named, S.STAGING[table]))
-    return headers.conform(filled, S.STAGING[table])
+    return _staged(filled, table)
 
 
 def stage_test_rows(df: DataFrame, table: str) -> DataFrame:
     """Hand-made batches of the remaining tables: normal headers, declared columns and types."""
     named = headers.normalise_headers(headers.drop_junk_columns(df))
-    return headers.conform(
-        headers.fill_missing_columns(named, S.STAGING[table]), S.STAGING[table])
+    return _staged(headers.fill_missing_columns(named, S.STAGING[table]), table)
 
 
 def stage_credit_cards(df: DataFrame) -> DataFrame:
-    return headers.conform(
-        _prepared(df, "stg_user_credit_card"), S.STAGING["stg_user_credit_card"])
+    return _staged(_prepared(df, "stg_user_credit_card"), "stg_user_credit_card")
 
 
 def check_products(df: DataFrame, normalise: bool = True) -> DataFrame:
@@ -197,7 +201,7 @@ def _stage_people(df: DataFrame, table: str, id_col: str) -> DataFrame:
         "contact_number": fn.digits_only(F.col("contact_number")),
         "creation_date": fn.to_stamp(F.col("creation_date")),
     })
-    return headers.conform(dedup.soft_dedup_latest(cleaned, id_col), S.STAGING[table])
+    return _staged(dedup.soft_dedup_latest(cleaned, id_col), table)
 
 
 def stage_merchants(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from starloom.queries.registry import query
        "FROM product_rows")
 def dedup_exact(spark, sf_dir):
     """Equal product rows once."""
-    return st.money_as_double(st.stg_products(spark, sf_dir).drop(S.POSITION), "price")
+    return st.money_as_double(st.stg_products(spark, sf_dir), "price")
 
 
 @query("soft_dedup_latest", """
@@ -85,4 +85,4 @@ FROM (SELECT c_custkey::VARCHAR AS source_user_id FROM customer
 def assign_surrogate_keys(spark, sf_dir):
     """Dense keys for the new members, from the largest old key on."""
     ids, old = _members(spark, sf_dir)
-    return keys.assign_surrogate_keys(ids, old, "user_key", "source_user_id")
+    return keys.assign_surrogate_keys(ids, old, "user_key", "source_user_id", partitions=16)

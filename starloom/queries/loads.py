@@ -39,8 +39,9 @@ def _warehouse(spark: SparkSession, name: str) -> Warehouse:
 
 def _base(wh: Warehouse, sf_dir: str, **changed: DataFrame) -> Warehouse:
     """Staging loaded from the stand-ins, some tables replaced by the given frames."""
-    for name, make in _STAGED.items():
-        wh.full_refresh(name, changed.get(name, None) or make(wh.spark, sf_dir))
+    wh.full_refresh_all({
+        name: changed[name] if name in changed else make(wh.spark, sf_dir)
+        for name, make in _STAGED.items()})
     return wh
 
 
@@ -60,26 +61,30 @@ def load_full_refresh(spark, sf_dir):
     staged = st.stg_orders(spark, sf_dir)
     wh.full_refresh("stg_order_data", staged.filter(F.col("transaction_date") < "1998-01-01"))
     wh.full_refresh("stg_order_data", staged)
-    return wh.read("stg_order_data").drop(S.POSITION)
+    return wh.read("stg_order_data")
 
 
 @query("load_append", """
-SELECT order_id, user_id, estimated_arrival, transaction_date,
-       CASE WHEN transaction_date < TIMESTAMP '2000-01-01' THEN 0
-            WHEN transaction_date < TIMESTAMP '2001-01-01' THEN 1 ELSE 2 END::INTEGER AS load_no
-FROM stg_orders
+SELECT l_orderkey::VARCHAR AS order_id, l_partkey::VARCHAR AS product_id,
+       CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END::INTEGER AS load_no
+FROM lineitem
 """)
 def load_append(spark, sf_dir):
-    """History, then two appended batches; positions tell the loads apart."""
+    """Product lines in a first load and two appended batches; positions tell the loads apart."""
     wh = _warehouse(spark, "append")
-    staged = st.stg_orders(spark, sf_dir)
-    day = F.col("transaction_date")
-    wh.full_refresh("stg_order_data", staged.filter(day < "2000-01-01"))
-    wh.append("stg_order_data", staged.filter((day >= "2000-01-01") & (day < "2001-01-01")))
-    wh.append("stg_order_data", staged.filter(day >= "2001-01-01"))
-    return wh.read("stg_order_data").select(
-        *S.STAGING["stg_order_data"].fieldNames(),
-        F.col(f"{S.POSITION}.slice").alias("load_no"))
+    table = "stg_line_item_data_products"
+    raw = st.lines(spark, sf_dir).select(
+        F.col("l_returnflag").alias("batch"), st.text("l_orderkey").alias("order_id"),
+        F.lit("item").alias("product_name"), st.text("l_partkey").alias("product_id"), S.POSITION)
+
+    def batch(flag: str) -> DataFrame:
+        return st.staging.stage_line_products([raw.filter(F.col("batch") == flag).drop("batch")])
+
+    wh.full_refresh(table, batch("A"))
+    wh.append(table, batch("N"))
+    wh.append(table, batch("R"))
+    return wh.read(table).select(
+        "order_id", "product_id", F.col(f"{S.POSITION}.slice").alias("load_no"))
 
 
 def _source_files(spark: SparkSession, sf_dir: str) -> dict[str, list[Source]]:

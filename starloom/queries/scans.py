@@ -63,7 +63,7 @@ def scan_tab_packed(spark, sf_dir):
     spark.createDataFrame([("\t" + "\t".join(columns),)], "value string").write.text(path)
     lines.write.mode("append").text(path)
     rows = staging.stage_campaigns(sources.read_tab_packed(spark, path, columns))
-    return st.money_as_double(rows.drop(S.POSITION), "discount")
+    return st.money_as_double(rows, "discount")
 
 
 @query("scan_json_records", """
@@ -164,7 +164,7 @@ def union_order_slices(spark, sf_dir):
             part = part.filter(day < F.lit(bounds[i + 1]).cast("date"))
         part = part.withColumn(S.POSITION, F.col(S.POSITION).withField("slice", F.lit(i)))
         slices.append(part.toDF(*[rename(c) if c != S.POSITION else c for c in part.columns]))
-    return staging.stage_orders(slices).drop(S.POSITION)
+    return staging.stage_orders(slices)
 
 
 @query("union_by_name_text", """

@@ -38,6 +38,10 @@ POSITION_TYPE = T.StructType([
     T.StructField("row", T.LongType()),
 ])
 POSITION = "line_pos"
+# Staging tables whose load order matters later; the others drop the position.
+ORDERED_TABLES = frozenset({
+    "stg_line_item_data_products", "stg_line_item_data_prices", "stg_user_data", "stg_user_job",
+    "stg_merchant_data", "stg_staff_data"})
 
 
 def _table(**columns) -> T.StructType:

@@ -9,7 +9,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
@@ -66,3 +70,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_T = TypeVar("_T")
+
+
+def side_by_side(actions: Sequence[Callable[[], _T]], at_once: int = 4) -> list[_T]:
+    """Run independent Spark actions at the same time, so small jobs fill idle executors.
+
+    Results come in the order of ``actions``; the first failure is raised.
+    """
+    if len(actions) == 1:
+        return [actions[0]()]
+    spark = SparkSession.getActiveSession()
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return [f.result() for f in [
+            pool.submit(inheritable_thread_target(spark)(a)) for a in actions]]
