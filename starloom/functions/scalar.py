@@ -16,7 +16,7 @@ from starloom import schemas as S
 
 def trim_ws(c: Column) -> Column:
     """Strip all leading and trailing white space, tabs and line breaks included."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+", ""), r"(?U)\s+$", "")
+    return F.btrim(c, F.lit(S.WHITE_SPACE))
 
 
 def trim_all(df: DataFrame) -> DataFrame:

@@ -35,19 +35,24 @@ def _with_carry(df: DataFrame, per_block: DataFrame, keys: Sequence[str]) -> Dat
 def number_in_group(
     df: DataFrame, keys: Sequence[str], out: str = "rn", position: str = S.POSITION
 ) -> DataFrame:
-    """``row_number() over (partition by keys order by position)`` with bounded groups."""
-    rows = df.withColumn(_BLOCK, position_block(position))
+    """``row_number() over (partition by keys order by position)`` with bounded groups.
+
+    The number replaces the position in the result.
+    """
+    # the position is cut to what the windows need before anything is shuffled
+    rows = df.withColumn(_BLOCK, position_block(position)).withColumn(
+        "_row", F.col(f"{position}.row")).drop(position)
     # rows of earlier blocks of the same key
     sizes = rows.groupBy(*keys, _BLOCK).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(
         Window.unboundedPreceding, -1)
     carry = sizes.withColumn("_carry_n", F.sum("_n").over(earlier)).filter(
         F.col("_carry_n").isNotNull())
-    local = F.row_number().over(Window.partitionBy(*keys, _BLOCK).orderBy(f"{position}.row"))
+    local = F.row_number().over(Window.partitionBy(*keys, _BLOCK).orderBy("_row"))
     numbered = _with_carry(rows.withColumn("_local", local), carry, keys)
     return numbered.withColumn(
         out, (F.col("_local") + F.coalesce(F.col("_carry_n"), F.lit(0))).cast("bigint")
-    ).drop("_local", "_carry_n", _BLOCK)
+    ).drop("_local", "_carry_n", "_row", _BLOCK)
 
 
 def next_in_group(

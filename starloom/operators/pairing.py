@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom import schemas as S
 from starloom.operators.blocks import number_in_group
 
 
@@ -15,6 +14,6 @@ def pair_lines(products: DataFrame, prices: DataFrame, key: str = "order_id") ->
     Lines without a partner vanish. The join is on (order, n), which spreads even an order with
     very many lines.
     """
-    left = number_in_group(products.filter(F.col(key).isNotNull()), [key]).drop(S.POSITION)
-    right = number_in_group(prices.filter(F.col(key).isNotNull()), [key]).drop(S.POSITION)
+    left = number_in_group(products.filter(F.col(key).isNotNull()), [key])
+    right = number_in_group(prices.filter(F.col(key).isNotNull()), [key])
     return left.join(right, [key, "rn"], "inner")

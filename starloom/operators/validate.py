@@ -1,7 +1,7 @@
 """Row validation, quarantine and constraint reports.
 
-Reasons are computed in one pass as an array column; a row is valid when the array is empty.
-Nothing is dropped without a trace: rejected rows keep their values and their reasons.
+Reasons are computed in one pass as one text column, joined by commas (plain expressions only, so
+the check stays inside generated code); a row is valid when the text is empty. Nothing is dropped without a trace: rejected rows keep their values and their reasons.
 """
 
 from __future__ import annotations
@@ -18,24 +18,32 @@ REASONS = "reject_reasons"
 
 
 def with_reasons(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """``rules`` maps a reason to the condition under which a row is bad."""
+    """``rules`` maps a reason to the condition under which a row is bad.
+
+    Filters on cleaned columns would be pushed below the cleaning and repeat all of it inside the
+    filter, several times over. Passing the finished row through ``inline`` stops that: every
+    value is computed once.
+    """
     found = [F.when(bad, F.lit(reason)) for reason, bad in rules.items()]
-    return df.withColumn(REASONS, F.array_compact(F.array(*found)))
+    row = F.struct(*[F.col(c) for c in df.columns], F.concat_ws(",", *found).alias(REASONS))
+    return df.select(F.inline(F.array(row)))
 
 
 def accepted(df: DataFrame) -> DataFrame:
-    return df.filter(F.size(REASONS) == 0).drop(REASONS)
+    return df.filter(F.col(REASONS) == "").drop(REASONS)
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    return df.filter(F.size(REASONS) > 0)
+    return df.filter(F.col(REASONS) != "")
 
 
 def reject_metrics(df: DataFrame) -> DataFrame:
     """Rows per outcome: "loaded" and one line per reason (a row counts once per reason)."""
-    outcome = F.when(F.size(REASONS) == 0, F.array(F.lit("loaded"))).otherwise(F.col(REASONS))
-    return df.select(F.explode(outcome).alias("outcome")).groupBy("outcome").agg(
-        F.count(F.lit(1)).alias("n_rows"))
+    # combinations of reasons are few: they are counted first and taken apart afterwards
+    counts = df.groupBy(REASONS).agg(F.count(F.lit(1)).alias("n"))
+    outcome = F.when(F.col(REASONS) == "", "loaded").otherwise(F.col(REASONS))
+    return counts.select(F.explode(F.split(outcome, ",")).alias("outcome"), "n").groupBy(
+        "outcome").agg(F.sum("n").alias("n_rows"))
 
 
 def order_rules() -> dict[str, Column]:
@@ -71,16 +79,16 @@ def flag_key_conflicts(
     The winner per key is one aggregation; winners meet the rows on their position, so copies of
     one key never meet in a task.
     """
-    winners = df.filter((F.size(REASONS) == 0) & F.col(key).isNotNull()).groupBy(key).agg(
+    winners = df.filter((F.col(REASONS) == "") & F.col(key).isNotNull()).groupBy(key).agg(
         F.min(position).alias("_winner"))
     if existing is not None:
         winners = winners.join(existing.select(key).distinct(), key, "left_anti")
     winners = winners.select("_winner")
     joined = df.join(winners, F.col(position) == F.col("_winner"), "left")
-    conflict = (F.size(REASONS) == 0) & F.col(key).isNotNull() & F.col("_winner").isNull()
+    conflict = (F.col(REASONS) == "") & F.col(key).isNotNull() & F.col("_winner").isNull()
     return joined.withColumn(
         REASONS,
-        F.when(conflict, F.array(F.lit("duplicate_key"))).otherwise(F.col(REASONS)),
+        F.when(conflict, F.lit("duplicate_key")).otherwise(F.col(REASONS)),
     ).drop("_winner")
 
 

@@ -58,11 +58,11 @@ class Calendar:
     end: str = S.CALENDAR_END
 
 
-def _staged(wh: Warehouse, table: str) -> DataFrame:
+def _staged(wh: Warehouse, table: str, snapshot: Mapping[str, list[str]]) -> DataFrame:
     fields = list(S.STAGING[table].fields)
     if table in S.ORDERED_TABLES:
         fields.append(T.StructField(S.POSITION, S.POSITION_TYPE))
-    return wh.read(table, T.StructType(fields))
+    return wh.read(table, T.StructType(fields), snapshot)
 
 
 def rebuild(
@@ -89,7 +89,8 @@ def rebuild(
             validate.refuse_if_any(report, f"{table} breaks its keys")
         return out
 
-    stg = {t: _staged(wh, t) for t in S.STAGING if t != "stg_user_credit_card"}
+    now = wh.snapshot()
+    stg = {t: _staged(wh, t, now) for t in S.STAGING if t != "stg_user_credit_card"}
     plans = {
         "dim_date": lambda: dims.dim_date(spark, calendar.start, calendar.end),
         "dim_user": lambda: dims.dim_user(stg["stg_user_data"], stg["stg_user_job"]),

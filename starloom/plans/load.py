@@ -45,27 +45,44 @@ class Warehouse:
             return self.spark.createDataFrame([], _LOG)
         return self.spark.read.schema(_LOG).json(self._log_path)
 
-    def _paths(self, table: str) -> list[str]:
-        """Folders of the current table: its last full load and the appends since then.
+    def snapshot(self) -> dict[str, list[str]]:
+        """Folders of every table: its last full load and the appends since then.
 
         The log has one row per table and load, so what comes back counts loads, not data.
         """
-        log = self._log().filter(F.col("table_name") == table)
-        rows = log.select("seq", "path", "mode").orderBy("seq").collect()
-        start = max((i for i, r in enumerate(rows) if r["mode"] == "replace"), default=0)
-        return [r["path"] for r in rows[start:]]
+        tables: dict[str, list[str]] = {}
+        for r in self._log().orderBy("seq", "table_name").collect():
+            if r["mode"] == "replace":
+                tables[r["table_name"]] = []
+            tables.setdefault(r["table_name"], []).append(r["path"])
+        return tables
 
     def exists(self, table: str) -> bool:
-        return bool(self._paths(table))
+        return table in self.snapshot()
 
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
-        """The published table; without one, an empty frame of ``schema`` if that is given."""
-        paths = self._paths(table)
-        if not paths:
-            if schema is None:
-                raise ValueError(f"table {table} was never published")
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(*paths)
+    def read(
+        self, table: str, schema: T.StructType | None = None,
+        snapshot: Mapping[str, list[str]] | None = None,
+    ) -> DataFrame:
+        """The published table; without one, an empty frame of ``schema`` if that is given.
+
+        A given ``schema`` is also what is read. Tables read with the same ``snapshot`` belong to
+        the same published state.
+        """
+        paths = (self.snapshot() if snapshot is None else snapshot).get(table)
+        if paths:
+            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+            return reader.parquet(*paths)
+        if schema is None:
+            raise ValueError(f"table {table} was never published")
+        return self.spark.createDataFrame([], schema)
+
+    def _current(self, table: str, batch: DataFrame) -> DataFrame:
+        """What a batch is appended to; for a new table, nothing in the shape of the batch."""
+        now = self.snapshot()
+        if table in now:
+            return self.read(table, snapshot=now)
+        return self.spark.createDataFrame([], batch.schema)
 
     # -- writing -----------------------------------------------------------------------
     def write(self, table: str, df: DataFrame) -> tuple[str, int]:
@@ -105,7 +122,7 @@ class Warehouse:
         """Append a batch. An empty batch publishes nothing; a key conflict refuses the batch."""
         if df.isEmpty():
             return {"table": table, "rows_loaded": 0}
-        current = self.read(table, df.schema)
+        current = self._current(table, df)
         path, n = self.write(table, self._fit(table, current, df))
         batch = self.spark.read.parquet(path)
         for key in S.UNIQUE.get(table, ()):
@@ -122,14 +139,13 @@ class Warehouse:
         The checked batch is written once; both sides and the counts are read from it.
         """
         for key in S.UNIQUE.get(table, ()):
-            current = self.read(table, checked.schema) if self.exists(table) else None
-            checked = validate.flag_key_conflicts(checked, key, current)
+            checked = validate.flag_key_conflicts(checked, key, self._current(table, checked))
         batch_path, _ = self.write(f"{table}_checked", checked)
         batch = self.spark.read.parquet(batch_path)
         good = validate.accepted(batch)
         if table not in S.ORDERED_TABLES:
             good = good.drop(S.POSITION)
-        current = self.read(table, good.schema)
+        current = self._current(table, good)
         good_path, n_good = self.write(table, self._fit(table, current, good))
         bad_path, n_bad = self.write(f"{table}_rejects", validate.rejected(batch))
         self.publish({table: good_path, f"{table}_rejects": bad_path}, "append")

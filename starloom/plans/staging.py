@@ -2,7 +2,7 @@
 
 Input: source columns plus position, headers as found. Output: the staging schema, plus the
 position in tables whose load order matters later.
-Functions that validate return rows with a ``reject_reasons`` array; ``validate.accepted`` and
+Functions that validate return rows with ``reject_reasons``; ``validate.accepted`` and
 ``validate.rejected`` split it.
 """
 

@@ -299,9 +299,8 @@ def scenario_dirty(spark, sf_dir):
     parts = []
     for name, make in dirty.items():
         jobs.append_batch(wh, Batch(name, _csv(make(spark, sf_dir), name), "dirty"))
-        good = wh.read(name).select(F.lit("loaded").alias("outcome"))
-        bad = wh.read(f"{name}_rejects").select(F.explode(validate.REASONS).alias("outcome"))
-        parts.append(good.unionByName(bad).groupBy("outcome").agg(
-            F.count(F.lit(1)).alias("n_rows")).select(
+        good = wh.read(name).select(F.lit("").alias(validate.REASONS))
+        bad = wh.read(f"{name}_rejects").select(validate.REASONS)
+        parts.append(validate.reject_metrics(good.unionByName(bad)).select(
             F.lit(name).alias("table_name"), "outcome", "n_rows"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

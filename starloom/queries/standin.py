@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starloom import schemas as S
 from starloom.plans import dims, facts, staging
@@ -16,8 +17,14 @@ from starloom.sources import read_parquet
 from starloom.sources.position import row_position
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def text(c: str | Column) -> Column:
@@ -71,7 +78,8 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/lineitem.parquet")
+    return read_parquet(
+        spark, f"{sf_dir}/lineitem.parquet", schema=table(spark, sf_dir, "lineitem").schema)
 
 
 def raw_line_products(spark: SparkSession, sf_dir: str) -> DataFrame:

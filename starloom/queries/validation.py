@@ -11,16 +11,12 @@ from starloom.queries import standin as st
 from starloom.queries.registry import query
 
 
-def _reasons_as_text(df):
-    return df.withColumn(validate.REASONS, F.array_join(validate.REASONS, ",")).drop(S.POSITION)
-
-
 @query("validate_orders", """
 SELECT order_id, user_id, estimated_arrival, transaction_date, reject_reasons FROM judged_orders
 """)
 def validate_orders(spark, sf_dir):
     """Every dirty order with its cleaned values and the reasons against it."""
-    return _reasons_as_text(staging.check_orders(st.raw_dirty_orders(spark, sf_dir)))
+    return staging.check_orders(st.raw_dirty_orders(spark, sf_dir)).drop(S.POSITION)
 
 
 @query("validate_products", """
@@ -34,7 +30,7 @@ FROM part
 def validate_products(spark, sf_dir):
     """Products with blank ids and prices such as "free" or "inf"."""
     raw = st.raw_dirty_products(spark, sf_dir)
-    return st.money_as_double(_reasons_as_text(staging.check_products(raw)), "price")
+    return st.money_as_double(staging.check_products(raw).drop(S.POSITION), "price")
 
 
 @query("validate_line_products", """
@@ -47,7 +43,7 @@ FROM lineitem
 """)
 def validate_line_products(spark, sf_dir):
     raw = st.raw_dirty_line_products(spark, sf_dir)
-    return _reasons_as_text(staging.check_line_products(raw))
+    return staging.check_line_products(raw).drop(S.POSITION)
 
 
 def _conflicting_batch(spark, sf_dir):
@@ -76,7 +72,7 @@ def quarantine_orders(spark, sf_dir):
     return judged.select(
         "order_id", F.col(f"{S.POSITION}.slice").alias("slice"),
         F.col(f"{S.POSITION}.row").alias("pos"),
-        F.array_join(validate.REASONS, ",").alias(validate.REASONS))
+        validate.REASONS)
 
 
 @query("load_metrics", """

@@ -16,6 +16,9 @@ ID_PLACEHOLDERS = ("", "nan", "none")
 JUNK_HEADER = r"(?i)^unnamed|^_c\d+$|^$"
 NOT_A_DIGIT = "[^0-9]"
 NOT_DIGIT_OR_DOT = "[^0-9.]"
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 MISSING_LEVEL = "N/A"
 CALENDAR_START = "2020-01-01"
 CALENDAR_END = "2030-12-31"

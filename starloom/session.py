@@ -24,6 +24,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Sides below this measured size are broadcast, larger ones are shuffled. A lookup needs only
+    # two columns of a dimension, so most dimensions save the fact table a shuffle.
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
 }
 
 

@@ -31,8 +31,12 @@ def _nulls(df: DataFrame) -> DataFrame:
     return df.withColumns({n: null_tokens(F.col(f"`{n}`")) for n in names}) if names else df
 
 
-def read_parquet(spark: SparkSession, path: str, slice_no: int = 0) -> DataFrame:
-    return spark.read.parquet(path).withColumn(S.POSITION, parquet_position(slice_no))
+def read_parquet(
+    spark: SparkSession, path: str, slice_no: int = 0, schema: T.StructType | None = None
+) -> DataFrame:
+    """Parquet files; a known ``schema`` saves reading a footer for it."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).withColumn(S.POSITION, parquet_position(slice_no))
 
 
 def read_csv(
