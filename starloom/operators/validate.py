@@ -70,6 +70,11 @@ def line_product_rules() -> dict[str, Column]:
     }
 
 
+def known_keys(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The key values of ``batch`` that ``existing`` has."""
+    return existing.select(key).join(batch.select(key), key, "left_semi").distinct()
+
+
 def flag_key_conflicts(
     df: DataFrame, key: str, existing: DataFrame | None = None, position: str = S.POSITION
 ) -> DataFrame:
@@ -77,12 +82,13 @@ def flag_key_conflicts(
 
     Row by row in load order the first valid row of a key wins, unless the key is already there.
     The winner per key is one aggregation; winners meet the rows on their position, so copies of
-    one key never meet in a task.
+    one key never meet in a task. The loaded table is reduced to the keys of the batch first: with
+    a small batch it is only streamed past a broadcast, not shuffled.
     """
     winners = df.filter((F.col(REASONS) == "") & F.col(key).isNotNull()).groupBy(key).agg(
         F.min(position).alias("_winner"))
     if existing is not None:
-        winners = winners.join(existing.select(key).distinct(), key, "left_anti")
+        winners = winners.join(known_keys(existing, winners, key), key, "left_anti")
     winners = winners.select("_winner")
     joined = df.join(winners, F.col(position) == F.col("_winner"), "left")
     conflict = (F.col(REASONS) == "") & F.col(key).isNotNull() & F.col("_winner").isNull()

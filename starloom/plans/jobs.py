@@ -65,6 +65,17 @@ def _staged(wh: Warehouse, table: str, snapshot: Mapping[str, list[str]]) -> Dat
     return wh.read(table, T.StructType(fields), snapshot)
 
 
+def _refuse_repeated_orders(orders: DataFrame, side: DataFrame, table: str) -> None:
+    """Several side rows per order would break the order key of the fact.
+
+    Seen here from counts per order, before a join could multiply the rows of a hot order.
+    """
+    repeated = side.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+    validate.refuse_if_any(
+        repeated.join(orders.select("order_id"), "order_id", "left_semi"),
+        f"{table} has several rows for an order")
+
+
 def rebuild(
     wh: Warehouse, calendar: Calendar | None = None, on_orphans: str = "fail",
 ) -> dict[str, int]:
@@ -101,6 +112,9 @@ def rebuild(
     }
     star = dict(zip(plans, side_by_side([partial(lambda t: put(t, plans[t]()), t) for t in plans])))
 
+    for table in ("stg_order_with_merchant_data", "stg_transactional_campaign_data",
+                  "stg_order_delays"):
+        _refuse_repeated_orders(stg["stg_order_data"], stg[table], table)
     head = facts.order_headers(
         stg["stg_order_data"], stg["stg_order_with_merchant_data"],
         stg["stg_transactional_campaign_data"], stg["stg_order_delays"],

@@ -126,7 +126,7 @@ class Warehouse:
         path, n = self.write(table, self._fit(table, current, df))
         batch = self.spark.read.parquet(path)
         for key in S.UNIQUE.get(table, ()):
-            clash = batch.select(key).join(current.select(key), key, "left_semi").select(
+            clash = validate.known_keys(current, batch, key).select(
                 F.lit(table).alias("table_name"), F.col(key).alias("value"))
             validate.refuse_if_any(clash, f"{table}.{key} already loaded")
         self._refuse_bad(table, batch)
@@ -136,12 +136,15 @@ class Warehouse:
     def append_isolated(self, table: str, checked: DataFrame) -> dict:
         """Append the good rows of a checked batch; the others go to ``<table>_rejects``.
 
-        The checked batch is written once; both sides and the counts are read from it.
+        The batch is written once after cleaning and once after the key check, so neither text
+        nor keys are gone through again for the two sides.
         """
+        checked_path, _ = self.write(f"{table}_checked", checked)
+        batch = self.spark.read.schema(checked.schema).parquet(checked_path)
         for key in S.UNIQUE.get(table, ()):
-            checked = validate.flag_key_conflicts(checked, key, self._current(table, checked))
-        batch_path, _ = self.write(f"{table}_checked", checked)
-        batch = self.spark.read.parquet(batch_path)
+            flagged = validate.flag_key_conflicts(batch, key, self._current(table, batch))
+            flagged_path, _ = self.write(f"{table}_checked", flagged)
+            batch = self.spark.read.schema(flagged.schema).parquet(flagged_path)
         good = validate.accepted(batch)
         if table not in S.ORDERED_TABLES:
             good = good.drop(S.POSITION)

@@ -316,3 +316,11 @@ def test_repeated_product_id_repeats_the_line(spark):
         "order_id string, user_key long, merchant_key long, campaign_key long, date_key int")
     items = facts.order_items(products, prices, dim, head)
     assert facts.order_totals(items).first()["order_total"] == Decimal("12")
+
+
+def test_several_links_per_order_are_refused(wh, put):
+    jobs.append_batch(wh, Batch("stg_order_data", put(LATE_ORDER)))
+    jobs.append_batch(wh, Batch("stg_transactional_campaign_data", put(
+        LATE_LINK + LATE_LINK.split("\n")[1] + "\n")))
+    with pytest.raises(validate.ConstraintError, match="several rows"):
+        jobs.rebuild(wh)

@@ -43,3 +43,24 @@ def test_key_and_reference_reports(spark):
     assert [(r["column_name"], r["value"], r["n_rows"]) for r in lost] == [("ref", "3", 2)]
     with pytest.raises(validate.ConstraintError, match="not_unique"):
         validate.refuse_if_any(report.filter("value = 'a'"), "t")
+
+
+def test_merged_ranges_keep_their_order(spark):
+    small = {
+        "spark.sql.shuffle.partitions": "60",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    old = {n: spark.conf.get(n) for n in small}
+    try:
+        for n, v in small.items():
+            spark.conf.set(n, v)
+        df = spark.range(20000).selectExpr("lpad(id * 7919 % 20000, 6, '0') AS id")
+        keyed = keys.dense_keys(df, "k", ["id"])
+        files = {f for f, in keyed.selectExpr("_metadata.file_path").distinct().collect()}
+        assert 1 < len(files) < 60
+        assert keyed.filter("k <> cast(id AS long) + 1").count() == 0
+    finally:
+        for n, v in old.items():
+            spark.conf.set(n, v)
