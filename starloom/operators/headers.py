@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -120,10 +121,16 @@ def conform(df: DataFrame, schema: T.StructType, keep: Sequence[str] = (S.POSITI
     return df.select(*cols, *[k for k in keep if k in df.columns])
 
 
+def shape(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Declared columns, order and types of already clean data; filters pass through to scans."""
+    return df.select(*[
+        F.col(f.name) if df.schema[f.name].dataType == f.dataType
+        else F.col(f.name).cast(f.dataType).alias(f.name)
+        for f in schema.fields])
+
+
 def union_by_name_text(frames: Sequence[DataFrame]) -> DataFrame:
     """Union of all source columns, every one as text."""
-    from functools import reduce
-
     def as_text(df: DataFrame) -> DataFrame:
         return df.select(*[
             F.col(f"`{c}`") if c == S.POSITION else F.col(f"`{c}`").cast("string").alias(c)

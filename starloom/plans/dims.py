@@ -50,22 +50,22 @@ def dim_user(
         "user_id", "source_user_id").select("source_user_id", "job_title", "job_level")
     members = _masters(stg_user, "user_id", "source_user_id").join(jobs, "source_user_id", "left")
     wanted = members.select(S.STAR["dim_user"].fieldNames()[1:])
-    return headers.conform(
-        _keyed(wanted, "user_key", "source_user_id", existing), S.STAR["dim_user"], ())
+    return headers.shape(
+        _keyed(wanted, "user_key", "source_user_id", existing), S.STAR["dim_user"])
 
 
 def dim_merchant(stg: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     members = _masters(stg, "merchant_id", "source_merchant_id")
     wanted = members.select(S.STAR["dim_merchant"].fieldNames()[1:])
-    return headers.conform(
-        _keyed(wanted, "merchant_key", "source_merchant_id", existing), S.STAR["dim_merchant"], ())
+    return headers.shape(
+        _keyed(wanted, "merchant_key", "source_merchant_id", existing), S.STAR["dim_merchant"])
 
 
 def dim_staff(stg: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     members = _masters(stg, "staff_id", "source_staff_id")
     wanted = members.select(S.STAR["dim_staff"].fieldNames()[1:])
-    return headers.conform(
-        _keyed(wanted, "staff_key", "source_staff_id", existing), S.STAR["dim_staff"], ())
+    return headers.shape(
+        _keyed(wanted, "staff_key", "source_staff_id", existing), S.STAR["dim_staff"])
 
 
 def dim_product(stg: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def dim_product(stg: DataFrame) -> DataFrame:
     keyed = keys.dense_keys(
         rows.distinct(), "product_key",
         ["product_id", "product_name", "product_type", "base_price"], name="product_key")
-    return headers.conform(keyed, S.STAR["dim_product"], ())
+    return headers.shape(keyed, S.STAR["dim_product"])
 
 
 def dim_campaign(stg: DataFrame) -> DataFrame:
@@ -86,4 +86,4 @@ def dim_campaign(stg: DataFrame) -> DataFrame:
     keyed = keys.dense_keys(
         rows.distinct(), "campaign_key",
         ["campaign_id", "campaign_name", "description", "discount"], name="campaign_key")
-    return headers.conform(keyed, S.STAR["dim_campaign"], ())
+    return headers.shape(keyed, S.STAR["dim_campaign"])

@@ -15,15 +15,18 @@ from starloom.operators import headers, keys
 from starloom.operators.pairing import pair_lines
 
 
-def _lookup(df: DataFrame, dim: DataFrame, on: str, source: str, key: str) -> DataFrame:
-    """Left lookup of a surrogate key.
+def _lookup(orders: DataFrame, dim: DataFrame, on: str, source: str, key: str) -> DataFrame:
+    """Left lookup of a surrogate key for orders.
 
     No broadcast hint: dimensions may outgrow any executor, and the optimiser broadcasts the
-    (two-column) side by its measured size anyway. Hot ids and the NULL id of a shuffled lookup
-    are split by adaptive skew handling, since the dimension side has one row per id.
+    two-column side by its measured size anyway. When it has to shuffle, orders without an id,
+    often the largest group, are spread by their order id (behind a character that no id holds)
+    instead of meeting in one task; hot ids are split by adaptive skew handling, since the
+    dimension side has one row per id.
     """
-    right = dim.select(F.col(source).alias(on), key)
-    return df.join(right, on, "left")
+    spread = F.coalesce(F.col(on), F.concat(F.lit("\x00"), F.col("order_id")))
+    right = dim.select(F.col(source).alias("_source"), key)
+    return orders.join(right, spread == F.col("_source"), "left").drop("_source")
 
 
 def order_headers(
@@ -86,13 +89,13 @@ def with_totals(headers_: DataFrame, totals: DataFrame) -> DataFrame:
 def fact_orders(headers_: DataFrame, totals: DataFrame) -> DataFrame:
     keyed = keys.dense_keys(
         with_totals(headers_, totals), "order_key", ["order_id"], name="order_key")
-    return headers.conform(keyed, S.STAR["fact_orders"], ())
+    return headers.shape(keyed, S.STAR["fact_orders"])
 
 
 def fact_order_items(items: DataFrame) -> DataFrame:
     keyed = keys.dense_keys(
         items, "order_item_key", ["order_id", "rn", "product_key"], name="order_item_key")
-    return headers.conform(keyed, S.STAR["fact_order_items"], ())
+    return headers.shape(keyed, S.STAR["fact_order_items"])
 
 
 def campaign_days(orders: DataFrame) -> DataFrame:
@@ -112,4 +115,4 @@ def fact_campaign_performance(orders: DataFrame) -> DataFrame:
     keyed = keys.dense_keys(
         campaign_days(orders), "campaign_perf_key", ["campaign_key", "date_key"],
         name="campaign_perf_key")
-    return headers.conform(keyed, S.STAR["fact_campaign_performance"], ())
+    return headers.shape(keyed, S.STAR["fact_campaign_performance"])
