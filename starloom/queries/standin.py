@@ -7,12 +7,15 @@ are written as SQL views in ``oracle_views``.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starloom import schemas as S
 from starloom.plans import dims, facts, staging
+from starloom.session import side_by_side
 from starloom.sources import read_parquet
 from starloom.sources.position import row_position
 
@@ -346,6 +349,8 @@ def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    side_by_side([partial(built, spark, sf_dir, f"dim_{d}") for d in (
+        "user", "merchant", "staff", "product", "campaign")])
     return facts.order_headers(
         stg_orders(spark, sf_dir), stg_order_links(spark, sf_dir),
         stg_campaign_links(spark, sf_dir), stg_delays(spark, sf_dir),

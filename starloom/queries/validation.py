@@ -9,6 +9,7 @@ from starloom.operators import validate
 from starloom.plans import dims, jobs, staging
 from starloom.queries import standin as st
 from starloom.queries.registry import query
+from starloom.session import materialise
 
 
 @query("validate_orders", """
@@ -47,10 +48,10 @@ def validate_line_products(spark, sf_dir):
 
 
 def _conflicting_batch(spark, sf_dir):
-    """Dirty orders listed twice."""
+    """Dirty orders listed twice; cleaned once and written, as the isolated append does."""
     raw = st.raw_dirty_orders(spark, sf_dir)
     again = raw.withColumn(S.POSITION, F.col(S.POSITION).withField("slice", F.lit(1)))
-    return staging.check_orders(raw.unionByName(again))
+    return materialise(staging.check_orders(raw.unionByName(again)), "checked")
 
 
 @query("quarantine_orders", """

@@ -76,8 +76,11 @@ def test_tab_packed(spark, tmp_path):
     ("<table><tr><th>a</th><th>b</th></tr><tr><td rowspan=2>r</td><td>1</td></tr>"
      "<tr><td>2<table><tr><td>in</td></tr></table></td></tr><tr><td colspan='2'>w</td></tr>"
      "<tr><td>s</td></tr></table>",
-     (["a", "b"], [["r", "1"], ["r", "2in"], ["w", "w"], ["s", None]])),
+     (["a", "b"], [["r", "1"], ["r", "2 in"], ["w", "w"], ["s", None]])),
     ("<table><tr><td>1</td><td>2</td></tr></table>", (["0", "1"], [["1", "2"]])),
+    # comments, scripts, a tag end inside an attribute, a cut-off page
+    ("<!-- <table><tr><td>no</td></tr></table> --><script>'<table>'</script><table><tr>"
+     "<th title='x > y'>a<tr><td>1<br>2&nbsp;3<tr><td>4 < 5", (["a"], [["1 2 3"], ["4 < 5"]])),
 ])
 def test_first_table(page, expected):
     assert first_table(page) == expected
