@@ -52,7 +52,16 @@ def digits_to_int(c: Column, source: T.DataType | None = None) -> Column:
     """
     if isinstance(source, T.NumericType):
         return c.try_cast("bigint").try_cast("int")
-    return F.regexp_replace(c.cast("string"), S.NOT_A_DIGIT, "").try_cast("int")
+    digits = F.regexp_replace(c.cast("string"), S.NOT_A_DIGIT, "")
+    # a failing try_cast costs many times a good one, so it is left to texts that need it
+    size = F.length(digits)
+    return (F.when(size.between(1, 9), digits.cast("int"))
+            .when(size.between(10, 18), _int_if_fits(digits.cast("bigint")))
+            .when(size > 18, digits.try_cast("int")))
+
+
+def _int_if_fits(c: Column) -> Column:
+    return F.when(c <= S.INT_MAX, c.cast("int"))
 
 
 def digits_only(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 # --------------------------------------------------------------------------------------
 # Null tokens of the delimited files, id placeholders, junk header patterns,
-# digit patterns and the calendar range. They must equal what the source files use.
+# integer limit, digit patterns and the calendar range. They must equal what the source files use.
 # --------------------------------------------------------------------------------------
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -14,6 +14,7 @@ NULL_TOKENS = (
 )
 ID_PLACEHOLDERS = ("", "nan", "none")
 JUNK_HEADER = r"(?i)^unnamed|^_c\d+$|^$"
+INT_MAX = 2147483647
 NOT_A_DIGIT = "[^0-9]"
 NOT_DIGIT_OR_DOT = "[^0-9.]"
 WHITE_SPACE = (

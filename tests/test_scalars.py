@@ -19,6 +19,8 @@ def apply(spark, expr, values, kind="string"):
     (fn.spaced_lower, ["Readymade_Food ", None], ["readymade food", None]),
     (fn.digits_to_int, ["15days", "-3", "1.5 days", "none", "2147483647", "2147483648", ""],
      [15, 3, 15, None, 2147483647, None, None]),
+    (fn.digits_to_int, ["999999999", "9999999999", "99999999999999999999", "0" * 30 + "7", None],
+     [999999999, None, None, 7, None]),
     (fn.digits_only, ["+1 (23) 4", "none", None], ["1234", None, None]),
     (fn.discount, ["1%", "10%%", "5pct", "0.20", "1.2.3", "free"],
      [Decimal("1"), Decimal("10"), Decimal("5"), Decimal("0.2"), None, None]),
