@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from starloom.operators.blocks import last_before, next_in_group
 
 
-def _day(c: str) -> Column:
-    return F.to_date(F.col(c))
+def _minute(c: str) -> Column:
+    """Block of a time line: a busy id is cut into minutes, a quiet one has single rows anyway."""
+    return F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / 60)
 
 
 def current_versions(df: DataFrame, run_ts: Column) -> DataFrame:
@@ -25,7 +26,7 @@ def current_versions(df: DataFrame, run_ts: Column) -> DataFrame:
 
 def scd2_versions(df: DataFrame, id_col: str, valid_from: str = "valid_from") -> DataFrame:
     """``valid_to`` is the start of the next version of the id; the last one is current."""
-    out = next_in_group(df, [id_col], valid_from, _day(valid_from), "valid_to")
+    out = next_in_group(df, [id_col], valid_from, _minute(valid_from), "valid_to")
     return out.withColumn("is_current", F.col("valid_to").isNull())
 
 
@@ -50,7 +51,7 @@ def asof_lookup(
         F.struct(F.col(key).alias("key"), F.col(valid_to).alias("until")).alias("_ver"))
     line = left.unionByName(right)
     found = last_before(
-        line, ["_id"], [F.col("_t"), F.col("_kind")], "_ver", _day("_t"), "_hit")
+        line, ["_id"], [F.col("_t"), F.col("_kind")], "_ver", _minute("_t"), "_hit")
     open_or_later = F.col("_hit.until").isNull() | (F.col("_t") < F.col("_hit.until"))
     hit = F.when(F.col("_id").isNotNull() & F.col("_t").isNotNull() & open_or_later,
                  F.col("_hit.key"))
