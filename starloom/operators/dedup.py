@@ -38,8 +38,7 @@ def soft_dedup_latest(
     Missing dates are oldest; equal dates are settled by load order. Rows without an id form one
     group of their own.
     """
-    # smallest (no date, age, position): dates compare descending through their distance to the
-    # far end of the calendar
+    # the smallest (undated, minus date, position) is the newest row that was loaded first
     age = -F.unix_micros(F.col(date_col).cast("timestamp"))
     rank = F.struct(
         F.col(date_col).isNull().alias("undated"), age.alias("age"), F.col(position).alias(position))

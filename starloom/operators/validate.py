@@ -1,7 +1,8 @@
 """Row validation, quarantine and constraint reports.
 
 Reasons are computed in one pass as one text column, joined by commas (plain expressions only, so
-the check stays inside generated code); a row is valid when the text is empty. Nothing is dropped without a trace: rejected rows keep their values and their reasons.
+the check stays inside generated code); a row is valid when the text is empty. Nothing is dropped
+without a trace: rejected rows keep their values and their reasons.
 """
 
 from __future__ import annotations

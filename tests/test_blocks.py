@@ -124,3 +124,10 @@ def test_master_rows(spark):
 def test_exact_dedup_keeps_nulls_equal(spark, key):
     df = spark.createDataFrame([(key, None), (key, None), (key, 1)], "a string, b int")
     assert dedup.dedup_exact(df).count() == 2
+
+
+def test_new_members_are_current_from_the_run_on(spark):
+    run = F.lit("2024-05-01 10:00:00").cast("timestamp_ntz")
+    got = history.current_versions(spark.createDataFrame([("a",)], "id string"), run).first()
+    assert (str(got["valid_from"]), got["valid_to"], got["is_current"]) == (
+        "2024-05-01 10:00:00", None, True)
