@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import exact_dedup, sharding
+from starloom.llm import exact_dedup, language_id, sentencepiece_bpe, sharding, simhash
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +18,10 @@ ORACLES: dict[str, str] = {}
 _NORM_SQL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 
+def sentencepiece_model() -> str:
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[f.__name__] = f
     return f
@@ -31,6 +36,31 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document encoded and decoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_bpe.round_trip(docs, sentencepiece_model()).select("doc_id", "tokens.*")
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", (language_id.id_remainder("doc_id", 4) == 2).alias("held_out"))
+    profiles = language_id.learn(docs.filter("NOT held_out"))
+    return language_id.predict(docs.select("doc_id", "text", "held_out"), profiles).select(
+        "doc_id", "held_out", F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"))
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the component of its near-duplicates."""
+    return simhash.near_components(table(spark, sf_dir, "documents"), radius=3, words=3).select(
+        "doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document that stays for its text."""
