@@ -199,8 +199,10 @@ def _bundle_of_all(texts: list[str], dimensions: int) -> np.ndarray:
     return total
 
 
-def predict(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
-    """``docs`` with the column ``language`` struct(lang, score, known).
+def predict(
+    docs: DataFrame, profiles: Profiles, text: str = "text", into: str = "language",
+) -> DataFrame:
+    """``docs`` with the column ``into`` struct(lang, score, known), replaced if it exists.
 
     lang is `und` if the text is missing or has no letter (or nothing was learned). score is the
     cosine cut to 0 to 1. known is false if there is no letter, or if a text of some length has a
@@ -218,7 +220,7 @@ def predict(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFram
                 "lang": lang, "score": np.where(sums > 0, np.clip(cosine, 0.0, 1.0), 0.0),
                 "known": (sums > 0) & ((cosine >= least) | (sums < LEAST_TRIGRAMS))})
 
-    return docs.withColumn("language", found(text))
+    return docs.withColumn(into, found(text))
 
 
 def id_remainder(id_col: str, modulus: int) -> Column:

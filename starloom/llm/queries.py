@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import exact_dedup, language_id, sentencepiece_bpe, sharding, simhash
+from starloom.llm import exact_dedup, language_id, mixing, sentencepiece_bpe, sharding, simhash
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,70 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
 
+#: No source is repeated more often than this in the mix, and every document is read once.
+MOST_EPOCHS = 2.0
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as drawn for the mix."""
+    return mixing.draws(table(spark, sf_dir, "documents"), max_epochs=MOST_EPOCHS).select(
+        F.col("id").alias("doc_id"), "source", "tokens", "epoch", "block",
+        F.round("position", 9).alias("position"))
+
+
+ORACLES["op8_mixing"] = f"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, source,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+        FROM documents),
+    totals AS (SELECT source, sum(tokens)::BIGINT AS total FROM words GROUP BY source),
+    s AS (SELECT sum(total)::BIGINT AS t, min(total) AS lo, max(total) AS hi
+          FROM totals WHERE total > 0),
+    halves(step, low, high) AS (
+        SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+        UNION ALL
+        SELECT step + 1,
+               CASE WHEN pow(lo / hi, (low + high) / 2 - 1) <= {MOST_EPOCHS} THEN low
+                    ELSE (low + high) / 2 END,
+               CASE WHEN pow(lo / hi, (low + high) / 2 - 1) <= {MOST_EPOCHS} THEN (low + high) / 2
+                    ELSE high END
+        FROM halves, s WHERE step < {mixing.STEPS}),
+    power AS (SELECT CASE WHEN lo = hi THEN 1.0 ELSE high END AS a
+              FROM halves, s WHERE step = {mixing.STEPS}),
+    z AS (SELECT sum(pow(total / t, a)) AS z FROM totals, s, power WHERE total > 0),
+    plan AS (
+        SELECT source, total,
+               round(CASE WHEN total > 0 THEN pow(total / t, a) / z ELSE 0 END
+                     * t * pow(hi / t, 1 - a) * z)::BIGINT AS quota,
+               least({mixing.MOST_BLOCKS}, greatest(1, ceil(total / {mixing.BLOCK_TOKENS})))::INT
+                   AS blocks
+        FROM totals, s, power, z),
+    cut AS (
+        SELECT *, CASE WHEN total > 0 THEN quota // total ELSE 1 END AS rounds,
+               CASE WHEN total > 0 THEN quota % total ELSE 0 END AS rest FROM plan),
+    dealt AS (
+        SELECT w.doc_id, w.source, w.tokens, c.total, c.quota, c.rounds, c.rest,
+               (('0x' || substr(md5('0/block/' || doc_id), 1, 8))::BIGINT % c.blocks)::INT AS block,
+               unnest(range(0, c.rounds + (c.rest > 0)::INT))::INT AS epoch
+        FROM words w JOIN cut c ON w.source IS NOT DISTINCT FROM c.source),
+    blocks AS (SELECT source, epoch, block, sum(tokens) AS size FROM dealt GROUP BY ALL),
+    starts AS (
+        SELECT source, epoch, block, sum(size) OVER (
+            PARTITION BY source, epoch
+            ORDER BY md5('0/order/' || epoch || '/' || block), block) - size AS block_start
+        FROM blocks),
+    placed AS (
+        SELECT d.*, block_start + sum(tokens) OVER (
+            PARTITION BY d.source, d.epoch, d.block
+            ORDER BY md5('0/row/' || d.epoch || '/' || doc_id), doc_id) - tokens AS before
+        FROM dealt d JOIN starts s ON d.source IS NOT DISTINCT FROM s.source
+             AND d.epoch = s.epoch AND d.block = s.block)
+    SELECT doc_id, source, tokens, epoch, block, CASE WHEN quota > 0 THEN
+               round((epoch * total + before) / quota, 9) ELSE 0.0 END AS position
+    FROM placed WHERE epoch < rounds OR before + tokens <= rest"""
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document that stays for its text."""
