@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import exact_dedup, language_id, mixing, sentencepiece_bpe, sharding, simhash
+from starloom.llm import (
+    exact_dedup,
+    language_id,
+    mixing,
+    sentencepiece_bpe,
+    sharding,
+    simhash,
+    toxicity,
+)
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +69,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every whole document, learned from labelled ones that are not held out."""
+    held = language_id.id_remainder("doc_id", 5) == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held)
+    lexicon = toxicity.learn(docs, labels)
+    return toxicity.score(docs, lexicon, into="score").select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 #: No source is repeated more often than this in the mix, and every document is read once.
 MOST_EPOCHS = 2.0
 
