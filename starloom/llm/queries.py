@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starloom.llm import (
     exact_dedup,
     language_id,
+    main_text,
     mixing,
     sentencepiece_bpe,
     sharding,
@@ -144,6 +145,14 @@ ORACLES["op8_mixing"] = f"""
     FROM placed WHERE epoch < rounds OR before + tokens <= rest"""
 
 
+@query
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every whole page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.extract(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document that stays for its text."""
