@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
+    ann,
     exact_dedup,
     language_id,
     main_text,
@@ -17,6 +18,7 @@ from starloom.llm import (
     sharding,
     simhash,
     toxicity,
+    warc,
 )
 from starloom.llm.common import table
 
@@ -45,6 +47,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, deduplicated by revisit records, and read back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.round_trip(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document encoded and decoded again."""
@@ -52,6 +62,13 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.round_trip(docs, sentencepiece_model()).select("doc_id", "tokens.*")
 
 
+@query
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th one among all vectors."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole document, learned from those that are not held out."""
