@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,19 +15,11 @@ LOCATOR = "__locator"
 #: White space of the text contracts: blank and the five control characters 9 to 13.
 WHITE = r"[\x20\x09-\x0D]+"
 
-#: Rows per Arrow batch for whole texts: a batch of the longest texts still fits a Python worker.
-TEXT_BATCH_ROWS = 256
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
-    """Send texts to Python in batches of few rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def whole_text(c: str | Column) -> Column:
     """The text, a missing one as empty."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
@@ -59,6 +51,14 @@ def id_order(id_col: str) -> Column:
         F.col(LOCATOR).alias("at"))
 
 
-def slices(n: int, step: int) -> Iterator[slice]:
-    for start in range(0, n, step):
-        yield slice(start, min(n, start + step))
+def portions(texts: Sequence[str], rows: int = 256, letters: int = 1 << 20) -> Iterator[slice]:
+    """Cuts a batch of texts so that arrays over one part stay small, however long the texts are.
+
+    Spark bounds a batch by rows and bytes; a part ends after so many rows or letters.
+    """
+    start = seen = 0
+    for i, text in enumerate(texts):
+        seen += len(text)
+        if i + 1 - start >= rows or seen >= letters or i + 1 == len(texts):
+            yield slice(start, i + 1)
+            start, seen = i + 1, 0

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import small_batches
+from starloom.llm.common import portions
 
 DIMENSIONS = 1024
 SEED = 20240611
@@ -30,8 +30,8 @@ SEED = 20240611
 CLASSES = 128
 _OWN = 60
 
-#: Texts bundled by one matrix product, and letters after which a product starts anyway.
-PRODUCT_TEXTS, PRODUCT_LETTERS = 128, 1 << 20
+#: Texts bundled by one matrix product.
+PRODUCT_TEXTS = 128
 
 UNDETERMINED = "und"
 
@@ -110,16 +110,6 @@ def bundles(texts: Sequence[str], dimensions: int) -> tuple[np.ndarray, np.ndarr
     return counts.astype(np.float32) @ trigram_vectors(distinct, dimensions), sums
 
 
-def _portions(texts: list[str]) -> Iterator[slice]:
-    """Cuts a batch so that counts and letters of one product stay small."""
-    start = letters = 0
-    for i, t in enumerate(texts):
-        letters += len(t)
-        if i + 1 - start >= PRODUCT_TEXTS or letters >= PRODUCT_LETTERS or i + 1 == len(texts):
-            yield slice(start, i + 1)
-            start, letters = i + 1, 0
-
-
 @dataclass(frozen=True)
 class Profiles:
     """Languages in order and their prototypes as unit vectors (rows)."""
@@ -131,7 +121,7 @@ class Profiles:
         """Language, largest cosine and number of trigrams of each text."""
         n = len(texts)
         best, cosine, sums = np.zeros(n, int), np.zeros(n), np.zeros(n, np.int64)
-        for part in _portions(texts):
+        for part in portions(texts, PRODUCT_TEXTS):
             vectors, sums[part] = bundles(texts[part], self.prototypes.shape[1])
             if self.languages:
                 vectors = vectors.astype(np.float64)
@@ -153,7 +143,6 @@ def learn(
     language and dimension meet in a small aggregation. The driver receives one vector per language.
     Languages that differ in nothing but name share ties by alphabet. No rows: no languages.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter(
         "lang IS NOT NULL AND text IS NOT NULL")
 
@@ -189,7 +178,7 @@ def learn(
 
 def _bundle_of_all(texts: list[str], dimensions: int) -> np.ndarray:
     total = np.zeros(dimensions)
-    for part in _portions(texts):
+    for part in portions(texts, PRODUCT_TEXTS):
         codes, _ = trigrams(texts[part])
         counts = np.bincount(codes, minlength=1)
         distinct = np.flatnonzero(counts)
@@ -209,7 +198,6 @@ def predict(
     cosine no larger than that of unrelated vectors, so it resembles no learned language. The whole text counts, however long; equal texts get equal
     results; ties go to the first language by alphabet.
     """
-    small_batches(docs.sparkSession)
     least = UNRELATED_DEVIATIONS / np.sqrt(profiles.prototypes.shape[1] or 1)
 
     @F.pandas_udf("lang string, score double, known boolean")

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import small_batches
+from starloom.llm.common import portions
 
 BLANK = "▁"
 
@@ -262,6 +262,9 @@ class Model:
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids (int32) of each text, without begin and end."""
+        return [ids for part in portions(texts) for ids in self._encode(texts[part])]
+
+    def _encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         words = []
         for text in texts:
             if not text:
@@ -326,8 +329,6 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") ->
     A missing or empty text has no ids. Equal rows give equal ids; an empty table gives no rows; a
     column named like ``into`` is replaced.
     """
-    small_batches(docs.sparkSession)
-
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load(path)
@@ -339,8 +340,6 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") ->
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``rows`` with the text of each id array in column ``into``; a missing array gives ''."""
-    small_batches(rows.sparkSession)
-
     @F.pandas_udf("string")
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load(path)
@@ -357,8 +356,6 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     of the ids (as decimals joined by commas) and of the decoded text (UTF-8), which would be
     several times the size of the texts.
     """
-    small_batches(docs.sparkSession)
-
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load(path)

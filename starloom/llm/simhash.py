@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import LOCATOR, id_order, small_batches, with_locator
+from starloom.llm.common import LOCATOR, id_order, with_locator
 from starloom.llm.components import connected_components
 from starloom.session import materialise
 
@@ -80,8 +80,6 @@ def fingerprints(texts: Sequence[str], words: int) -> np.ndarray:
 
 def with_fingerprint(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
     """``docs`` with the column ``fp`` (long): the fingerprint of the whole text, 0 if missing."""
-    small_batches(docs.sparkSession)
-
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series(fingerprints(texts.fillna("").tolist(), words).view(np.int64))
@@ -332,7 +330,6 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
     # about one signature of a task's sort buffer for every 16 bytes
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * len(masks) // (1 << 22))
     dealt = rows.repartitionByRange(tasks, "key", "fp").sortWithinPartitions("key", "fp")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
     found = materialise(
         dealt.mapInPandas(_bucket_links(radius), "a long, b long, key long, part binary"), "links")
     parts = found.filter("part IS NOT NULL").select(
@@ -431,7 +428,6 @@ def without_near_duplicates(
     concerned = proposed.select("n").unionByName(
         proposed.select(F.col("n_2").alias("n"))).distinct()
     places = rows.join(concerned, "n").select("n", F.col("row.at").alias(LOCATOR))
-    small_batches(spark)
     sets = materialise(
         located.select(LOCATOR, F.col(text).alias("text")).join(places.hint("shuffle_hash"), LOCATOR)
         .select("n", shingle_set(check_words)("text").alias("shingles")), "shingle-sets")

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import small_batches
+from starloom.llm.common import portions
 
 #: The lexicon and the fit learn from at most so many labelled rows, the first by a hash of the id.
 MOST_LABELLED = 50_000
@@ -77,6 +77,10 @@ def fold(texts: Sequence[str]) -> list[str]:
 
     A digit is a letter if it touches one, a sign if a letter follows it.
     """
+    return [folded for part in portions(texts) for folded in _fold(texts[part])]
+
+
+def _fold(texts: Sequence[str]) -> list[str]:
     to, kinds = folding()
     points = np.frombuffer(
         "\n".join(t.replace("\n", " ") for t in texts).encode("utf-32-le", "surrogatepass"),
@@ -92,7 +96,7 @@ def fold(texts: Sequence[str]) -> list[str]:
     out = np.where(letter, to[points], 32).astype(np.uint32)
     out[points == 10] = 10
     line = out.tobytes().decode("utf-32-le", "surrogatepass")
-    return [f" {' '.join(t.split())} " for t in line.split("\n")] if texts else []
+    return [f" {' '.join(t.split())} " for t in line.split("\n")]
 
 
 # -- lexicon -------------------------------------------------------------------------------
@@ -205,7 +209,6 @@ def learn(
     ``most`` rows. Without toxic or without clean rows nothing is learned and every score is the
     share of toxic rows (0.5 without any).
     """
-    small_batches(docs.sparkSession)
     sample = labelled_sample(labels, id_col, label, most)
     # the sample is no larger than ``most`` pairs of numbers, so it may be broadcast
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("text")).join(
@@ -305,8 +308,6 @@ def score(
     A missing text counts as empty and gets the score of a text without matches. Equal texts get
     equal scores; a column named like ``into`` is replaced; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
-
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series(lexicon.scores(texts.fillna("").tolist()))
