@@ -34,6 +34,9 @@ SEED = 42
 #: Cost of a signature that is shuffled and sorted, and of a distance checked within a bucket.
 SIGNATURE_COST, PAIR_COST = 1.0, 0.01
 
+#: A partition gives a fingerprint at most so many signatures; thresholds beyond are not considered.
+MOST_SIGNATURES = 512
+
 #: Members of a bucket that are compared in one go; larger buckets are cut and their parts compared
 #: two by two in tasks of their own.
 BUCKET_ROWS = 4096
@@ -107,18 +110,18 @@ class Plan:
 
 def group_bits(correlation: np.ndarray, parts: int) -> list[list[int]]:
     """``parts`` groups of nearly equal size; each grows by the bit most correlated with it."""
-    left = set(range(len(correlation)))
     strength = np.abs(correlation)
+    left = np.ones(len(strength), bool)
     groups = []
     for i in range(parts):
-        size = len(left) // (parts - i)
-        first = max(left, key=lambda b: (strength[b, list(left)].sum(), -b))
-        group = [first]
-        left.remove(first)
+        size = int(left.sum()) // (parts - i)
+        pull = strength[:, left].sum(1)  # the first bit is the one most correlated with the rest
+        group: list[int] = []
         while len(group) < size:
-            bit = max(left, key=lambda b: (strength[b, group].sum(), -b))
+            bit = int(np.where(left, pull, -1.0).argmax())
+            pull = strength[:, bit] + (pull if group else 0.0)
             group.append(bit)
-            left.remove(bit)
+            left[bit] = False
         groups.append(sorted(group))
     return groups
 
@@ -158,7 +161,8 @@ def make_plan(n: int, ones: np.ndarray, together: np.ndarray, radius: int) -> Pl
         table: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
         for bits in groups:
             new: dict[int, tuple[float, list[int]]] = {}
-            prices = {t: cost(bits, t) for t in range(-1, min(radius, len(bits)) + 1)}
+            prices = {t: cost(bits, t) for t in range(-1, min(radius, len(bits)) + 1)
+                      if t < 1 or math.comb(len(bits), t) <= MOST_SIGNATURES}
             for s, (c, ts) in table.items():
                 for t, price in prices.items():
                     if s + t + 1 <= radius + 1 and (
