@@ -31,6 +31,9 @@ MOST_LABELLED = 50_000
 #: lower bound of its precision (95 %) is at least this.
 LEAST_TEXTS, LEAST_SHARE, LEAST_PRECISION = 4, 0.0005, 0.5
 
+#: Before the exceptions are known this bound is enough, for words that also have a mild use.
+CANDIDATE_PRECISION = 0.2
+
 #: Word beginnings that are looked at, in letters.
 STEMS = range(4, 13)
 
@@ -176,12 +179,14 @@ def precision_bound(toxic: int, clean: int) -> float:
         1 + z * z / n)
 
 
-def choose_entries(rows: Sequence[tuple[str, int, int]], toxic: int, clean: int) -> tuple:
-    """Entries among the patterns (text, toxic texts, clean texts); a longer one is left out if a
-    shorter beginning tells as much."""
+def choose_entries(
+    rows: Sequence[tuple[str, int, int]], toxic: int, clean: int, least: float = LEAST_PRECISION,
+) -> tuple:
+    """Entries among the patterns (text, toxic texts, clean texts) whose precision is ``least`` or
+    more; a longer one is left out if a shorter beginning tells as much."""
     weights = {}
     for pattern, t, c in sorted(rows, key=lambda r: (len(r[0]), r[0])):
-        if precision_bound(t, c) < LEAST_PRECISION:
+        if precision_bound(t, c) < least:
             continue
         weight = math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
         shorter = [weights[pattern[:k]] for k in range(2, len(pattern)) if pattern[:k] in weights]
@@ -246,8 +251,10 @@ def learn(
         return Lexicon((), (), (math.log(share / (1 - share)), 0.0, 0.0))
     least = max(LEAST_TEXTS, LEAST_SHARE * toxic)
     found = grouped.filter(F.col("pattern") != "  ").filter(
-        (F.col("toxic") >= least) & (F.col("toxic") >= F.col("clean") * LEAST_PRECISION)).collect()
-    lexicon = Lexicon(choose_entries([tuple(r) for r in found], toxic, clean))
+        (F.col("toxic") >= least)
+        & (F.col("toxic") >= (F.col("toxic") + F.col("clean")) * CANDIDATE_PRECISION)).collect()
+    lexicon = Lexicon(choose_entries(
+        [tuple(r) for r in found], toxic, clean, CANDIDATE_PRECISION))
 
     def phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = (Counter(), Counter())
@@ -261,7 +268,22 @@ def learn(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     mild = seen.filter((F.col("clean") >= max(EXCEPTION_TEXTS, LEAST_SHARE * clean)) & (
         F.col("toxic") <= EXCEPTION_PRECISION * (F.col("toxic") + F.col("clean")))).collect()
-    lexicon = Lexicon(lexicon.entries, tuple(sorted(r["word"] for r in mild)))
+    candidates = Lexicon(lexicon.entries, tuple(sorted(r["word"] for r in mild)))
+
+    def uncovered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = (Counter(), Counter())
+        for batch in batches:
+            for t, y in zip(fold(batch["text"].fillna("").tolist()), batch["label"].tolist()):
+                counts[int(y > 0)].update({t[s:e] for s, e, _ in candidates.matches(t)})
+        yield _counted(counts)
+
+    # no more rows than there are candidates
+    counted = rows.mapInPandas(uncovered, "word string, toxic long, clean long").groupBy("word").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(
+        F.col("toxic") >= least).collect()
+    chosen = Lexicon(choose_entries([tuple(r) for r in counted], toxic, clean))
+    lexicon = Lexicon(chosen.entries, tuple(
+        p for p in candidates.exceptions if chosen.matches(p)))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
