@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+#: Texts sent to a Python worker at once; with Spark's 10,000 a worker would hold several copies of
+#: tens of megabytes.
+TEXT_ROWS = 256
+
+
+def text_batches(spark: SparkSession) -> None:
+    """From now on the session sends rows to Python in batches of few rows."""
+    if int(spark.conf.get(_ARROW_ROWS)) != TEXT_ROWS:
+        spark.conf.set(_ARROW_ROWS, str(TEXT_ROWS))
+
+
+@contextmanager
+def slim_batches(spark: SparkSession, rows: int = 1 << 16) -> Iterator[None]:
+    """Larger batches for jobs over narrow rows that run within the block."""
+    before = spark.conf.get(_ARROW_ROWS)
+    spark.conf.set(_ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, before)
+
+
 def whole_text(c: str | Column) -> Column:
     """The text, a missing one as empty."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import portions
+from starloom.llm.common import portions, text_batches
 
 DIMENSIONS = 1024
 SEED = 20240611
@@ -143,6 +143,7 @@ def learn(
     language and dimension meet in a small aggregation. The driver receives one vector per language.
     Languages that differ in nothing but name share ties by alphabet. No rows: no languages.
     """
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter(
         "lang IS NOT NULL AND text IS NOT NULL")
 
@@ -198,6 +199,7 @@ def predict(
     cosine no larger than that of unrelated vectors, so it resembles no learned language. The whole text counts, however long; equal texts get equal
     results; ties go to the first language by alphabet.
     """
+    text_batches(docs.sparkSession)
     least = UNRELATED_DEVIATIONS / np.sqrt(profiles.prototypes.shape[1] or 1)
 
     @F.pandas_udf("lang string, score double, known boolean")

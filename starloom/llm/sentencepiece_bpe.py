@@ -28,12 +28,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import portions
+from starloom.llm.common import portions, text_batches
 
 BLANK = "▁"
 
 #: Distinct words whose ids a Python worker remembers before it starts afresh.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 #: A segment of more symbols (a long run without blanks) is merged through a priority queue with the
 #: same result, because a round over it for every rank would cost its length squared.
@@ -329,6 +329,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") ->
     A missing or empty text has no ids. Equal rows give equal ids; an empty table gives no rows; a
     column named like ``into`` is replaced.
     """
+    text_batches(docs.sparkSession)
+
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load(path)
@@ -340,6 +342,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") ->
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``rows`` with the text of each id array in column ``into``; a missing array gives ''."""
+    text_batches(rows.sparkSession)
+
     @F.pandas_udf("string")
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load(path)
@@ -356,6 +360,8 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     of the ids (as decimals joined by commas) and of the decoded text (UTF-8), which would be
     several times the size of the texts.
     """
+    text_batches(docs.sparkSession)
+
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load(path)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import LOCATOR, id_order, with_locator
+from starloom.llm.common import LOCATOR, id_order, slim_batches, text_batches, with_locator
 from starloom.llm.components import connected_components
 from starloom.session import materialise
 
@@ -83,6 +83,8 @@ def fingerprints(texts: Sequence[str], words: int) -> np.ndarray:
 
 def with_fingerprint(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
     """``docs`` with the column ``fp`` (long): the fingerprint of the whole text, 0 if missing."""
+    text_batches(docs.sparkSession)
+
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series(fingerprints(texts.fillna("").tolist(), words).view(np.int64))
@@ -192,8 +194,9 @@ def bit_statistics(nodes: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
             yield pd.DataFrame({"i": i, "j": j, "n": total[i, j].astype(np.int64)})
             yield pd.DataFrame({"i": [-1], "j": [-1], "n": [n]})
 
-    rows = nodes.select("fp").mapInPandas(partial, "i int, j int, n long").groupBy("i", "j").agg(
-        F.sum("n").alias("n")).collect()
+    with slim_batches(nodes.sparkSession):
+        rows = nodes.select("fp").mapInPandas(partial, "i int, j int, n long").groupBy("i", "j").agg(
+            F.sum("n").alias("n")).collect()
     n, together = 0, np.zeros((BITS, BITS))
     for r in rows:
         if r["i"] < 0:
@@ -334,8 +337,9 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
     # about one signature of a task's sort buffer for every 16 bytes
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * len(masks) // (1 << 22))
     dealt = rows.repartitionByRange(tasks, "key", "fp").sortWithinPartitions("key", "fp")
-    found = materialise(
-        dealt.mapInPandas(_bucket_links(radius), "a long, b long, key long, part binary"), "links")
+    with slim_batches(spark):
+        found = materialise(dealt.mapInPandas(
+            _bucket_links(radius), "a long, b long, key long, part binary"), "links")
     parts = found.filter("part IS NOT NULL").select(
         "key", "part", F.xxhash64("part").alias("number"))
     again = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import portions
+from starloom.llm.common import portions, text_batches
 
 #: The lexicon and the fit learn from at most so many labelled rows, the first by a hash of the id.
 MOST_LABELLED = 50_000
@@ -214,6 +214,7 @@ def learn(
     ``most`` rows. Without toxic or without clean rows nothing is learned and every score is the
     share of toxic rows (0.5 without any).
     """
+    text_batches(docs.sparkSession)
     sample = labelled_sample(labels, id_col, label, most)
     # the sample is no larger than ``most`` pairs of numbers, so it may be broadcast
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("text")).join(
@@ -330,6 +331,8 @@ def score(
     A missing text counts as empty and gets the score of a text without matches. Equal texts get
     equal scores; a column named like ``into`` is replaced; an empty table gives no rows.
     """
+    text_batches(docs.sparkSession)
+
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series(lexicon.scores(texts.fillna("").tolist()))
