@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import text_batches
 
 # Element names of the HTML standard and words that pages use in class and id.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -436,6 +437,8 @@ def extract(pages: DataFrame, html: str = "html", into: str = "text") -> DataFra
     A missing page counts as empty and gives an empty text, as does one without content. Equal pages
     get equal texts; a column named like ``into`` is replaced; an empty table gives no rows.
     """
+    text_batches(pages.sparkSession)
+
     @F.pandas_udf("string")
     def run(found: pd.Series) -> pd.Series:
         return pd.Series([main_text(p) for p in found.fillna("")], dtype=object)
