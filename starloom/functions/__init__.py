@@ -5,6 +5,7 @@ from starloom.functions.scalar import (
     clean_id,
     date_key,
     decimal_from_text,
+    inexact_number,
     default_text,
     digits_only,
     digits_to_int,
@@ -22,7 +23,7 @@ from starloom.functions.scalar import (
 )
 
 __all__ = [
-    "calendar_parts", "clean_id", "date_key", "decimal_from_text", "default_text", "digits_only",
+    "calendar_parts", "clean_id", "date_key", "decimal_from_text", "inexact_number", "default_text", "digits_only",
     "digits_to_int", "discount", "flag_int", "flag_is_true", "null_tokens", "nullif_blank",
     "spaced_lower", "strip_quotes", "to_date_lenient", "to_stamp", "trim_all", "trim_ws",
 ]

@@ -70,13 +70,25 @@ def digits_only(c: Column) -> Column:
 
 
 def decimal_from_text(c: Column) -> Column:
-    """Number or NULL; "free", "inf" and numbers beyond the storage type are NULL."""
-    return F.trim(c.cast("string")).try_cast(S.MONEY)
+    """Number or NULL; "free", "inf" and numbers that the storage type cannot hold exactly are NULL.
+
+    Nothing is rounded: ``inexact_number`` tells those numbers from texts that are none.
+    """
+    text = F.trim(c.cast("string"))
+    money = text.try_cast(S.MONEY)
+    return F.when(money == text.try_cast(S.WIDE_NUMBER), money)
+
+
+def inexact_number(c: Column) -> Column:
+    """True for a finite number that ``decimal_from_text`` refuses, with too many digits."""
+    number = F.trim(c.cast("string")).try_cast("double")
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
+    return finite & decimal_from_text(c).isNull()
 
 
 def discount(c: Column) -> Column:
     """The digits and dots of a discount text: "10%%" -> 10, "1pct" -> 1."""
-    return F.regexp_replace(c.cast("string"), S.NOT_DIGIT_OR_DOT, "").try_cast(S.MONEY)
+    return decimal_from_text(F.regexp_replace(c.cast("string"), S.NOT_DIGIT_OR_DOT, ""))
 
 
 def strip_quotes(c: Column) -> Column:
@@ -84,12 +96,20 @@ def strip_quotes(c: Column) -> Column:
 
 
 def to_stamp(c: Column) -> Column:
-    """Timestamp without zone from a date or a date-time text, row by row; bad text is NULL."""
-    return c.try_cast(S.STAMP)
+    """Timestamp without zone from a date or a date-time text, row by row; bad text is NULL.
+
+    ISO spellings first, then those of ``schemas.DATE_FORMATS``.
+    """
+    text = F.trim(c.cast("string"))
+    named = F.lit(None).cast(S.STAMP)
+    for pattern, spelling in reversed(S.DATE_FORMATS):
+        read = F.try_to_timestamp(text, F.lit(spelling)).cast(S.STAMP)
+        named = F.when(text.rlike(pattern), read).otherwise(named)
+    return F.coalesce(c.try_cast(S.STAMP), named)
 
 
 def to_date_lenient(c: Column) -> Column:
-    return c.try_cast(S.STAMP).cast("date")
+    return to_stamp(c).cast("date")
 
 
 def default_text(c: Column, value: str) -> Column:

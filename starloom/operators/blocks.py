@@ -15,10 +15,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom import schemas as S
+from starloom.session import materialise
 
 _BLOCK = "_block"
 
 
+def range_blocks(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """The rows, written once, with a column ``block``: runs of about equal length in ``order``.
+
+    Ranges are cut by the number of rows, so a busy key has many blocks. ``order`` begins with the
+    key and should tell rows apart; rows that it does not tell apart stay together.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialise(dealt.withColumn("block", F.spark_partition_id()), name)
+
+
 def position_block(position: str = S.POSITION) -> Column:
     return F.struct(f"{position}.slice", f"{position}.file", f"{position}.block")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas as S
 from starloom.functions import flag_is_true
+from starloom.session import materialise
 
 
 def dedup_exact(df: DataFrame) -> DataFrame:
@@ -19,7 +20,11 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 
 
 def _flag(df: DataFrame, id_col: str, master: Column, position: str) -> DataFrame:
-    """Flag every row whose position is not the ``master`` position of its id."""
+    """Flag every row whose position is not the ``master`` position of its id.
+
+    The rows are written once: positions of text files may differ between two scans of them.
+    """
+    df = materialise(df, "positioned")
     masters = df.groupBy(id_col).agg(master.alias("_master")).select(
         F.col(f"_master.{position}").alias("_master"))
     flagged = df.join(masters, F.col(position) == F.col("_master"), "left")

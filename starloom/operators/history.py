@@ -7,12 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.blocks import last_before, next_in_group
-
-
-def _minute(c: str) -> Column:
-    """Block of a time line: a busy id is cut into minutes, a quiet one has single rows anyway."""
-    return F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / 60)
+from starloom.operators.blocks import last_before, next_in_group, range_blocks
 
 
 def current_versions(df: DataFrame, run_ts: Column) -> DataFrame:
@@ -25,9 +20,24 @@ def current_versions(df: DataFrame, run_ts: Column) -> DataFrame:
 
 
 def scd2_versions(df: DataFrame, id_col: str, valid_from: str = "valid_from") -> DataFrame:
-    """``valid_to`` is the start of the next version of the id; the last one is current."""
-    out = next_in_group(df, [id_col], valid_from, _minute(valid_from), "valid_to")
-    return out.withColumn("is_current", F.col("valid_to").isNull())
+    """``valid_to`` is the start of the next version of the id; the last one is current.
+
+    Versions of an id that share a start have no length, but for one of them. Rows without id or
+    start are no versions: they stay open and are not current.
+    """
+    whole = F.col(id_col).isNotNull() & F.col(valid_from).isNotNull()
+    stamp = df.schema[valid_from].dataType
+    blocks = range_blocks(df.filter(whole), [id_col, valid_from, _spread(df)], "versions")
+    out = next_in_group(blocks, [id_col], valid_from, F.col("block"), "valid_to").drop("block")
+    out = out.withColumn("is_current", F.col("valid_to").isNull())
+    others = df.filter(~whole).withColumns({
+        "valid_to": F.lit(None).cast(stamp), "is_current": F.lit(False)})
+    return out.unionByName(others)
+
+
+def _spread(df: DataFrame) -> Column:
+    """A hash of the row, which cuts runs of equal id and time."""
+    return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
 def asof_lookup(
@@ -38,26 +48,35 @@ def asof_lookup(
 
     Rows and versions are merged into one time line per id, and every row takes the last version
     before it: linear in both inputs, where a range join would try every version of the id for
-    every row. Versions of an id must not overlap.
+    every row. Versions of an id must not overlap; those without length are left out, and of
+    versions that share a start the one that is valid longest counts, then the largest key. Rows
+    without id or time have no version and do not enter the time line, which is written once and
+    cut into blocks of equal length.
     """
     carry = list(row_cols) or [c for c in rows.columns if c not in (id_col, at)]
     left = rows.select(
         F.col(id_col).alias("_id"), F.col(at).alias("_t"), F.lit(1).alias("_kind"),
         F.struct(*carry).alias("_row") if carry else F.struct(F.lit(0).alias("_z")).alias("_row"),
         F.lit(None).cast(_version_type(versions, key, valid_to)).alias("_ver"))
-    right = versions.select(
+    long = F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from))
+    right = versions.filter(F.col(id_col).isNotNull() & F.col(valid_from).isNotNull() & long).select(
         F.col(id_col).alias("_id"), F.col(valid_from).alias("_t"), F.lit(0).alias("_kind"),
         F.lit(None).cast(left.schema["_row"].dataType).alias("_row"),
         F.struct(F.col(key).alias("key"), F.col(valid_to).alias("until")).alias("_ver"))
-    line = left.unionByName(right)
+    placed = F.col("_id").isNotNull() & F.col("_t").isNotNull()
+    order = F.struct(
+        "_t", "_kind", F.col("_ver.until").isNull().alias("open"), "_ver.until", "_ver.key")
+    line = left.filter(placed).unionByName(right).withColumn("_order_in", order)
+    line = range_blocks(line, ["_id", "_order_in", F.xxhash64("_row")], "time_line")
     found = last_before(
-        line, ["_id"], [F.col("_t"), F.col("_kind")], "_ver", _minute("_t"), "_hit")
+        line, ["_id"], [F.col("_order_in")], "_ver", F.col("block"), "_hit").filter("_kind = 1")
     open_or_later = F.col("_hit.until").isNull() | (F.col("_t") < F.col("_hit.until"))
-    hit = F.when(F.col("_id").isNotNull() & F.col("_t").isNotNull() & open_or_later,
-                 F.col("_hit.key"))
-    return found.filter("_kind = 1").select(
-        F.col("_id").alias(id_col), F.col("_t").alias(at),
-        *[F.col(f"_row.{c}").alias(c) for c in carry], hit.alias(key))
+    hit = F.when(open_or_later, F.col("_hit.key"))
+    cells = [F.col("_id").alias(id_col), F.col("_t").alias(at),
+             *[F.col(f"_row.{c}").alias(c) for c in carry]]
+    lost = left.filter(~placed).select(
+        *cells, F.lit(None).cast(versions.schema[key].dataType).alias(key))
+    return found.select(*cells, hit.alias(key)).unionByName(lost)
 
 
 def _version_type(versions: DataFrame, key: str, valid_to: str) -> str:

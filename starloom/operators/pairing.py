@@ -17,3 +17,32 @@ def pair_lines(products: DataFrame, prices: DataFrame, key: str = "order_id") ->
     left = number_in_group(products.filter(F.col(key).isNotNull()), [key])
     right = number_in_group(prices.filter(F.col(key).isNotNull()), [key])
     return left.join(right, [key, "rn"], "inner")
+
+
+def lost_lines(
+    products: DataFrame, prices: DataFrame, dim_product: DataFrame, orders: DataFrame,
+    key: str = "order_id",
+) -> DataFrame:
+    """(reason, n_rows): lines that reach no fact, because a partner, product or order is missing.
+
+    Lines without partner follow from the counts per order, which are combined before the shuffle.
+    A pair that lacks both product and order counts for both.
+    """
+    def counts(df: DataFrame, name: str) -> DataFrame:
+        return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
+
+    both = counts(products, "n").join(counts(prices, "m"), key, "full")
+    gap = F.coalesce("n", F.lit(0)) - F.coalesce("m", F.lit(0))
+    sums = both.agg(F.sum(F.greatest(gap, F.lit(0))).alias("no_price"),
+                    F.sum(F.greatest(-gap, F.lit(0))).alias("no_product_line"))
+    pairs = pair_lines(products, prices, key).select(key, "product_id")
+
+    def lost(df: DataFrame, known: DataFrame, on: str, reason: str) -> DataFrame:
+        return df.join(known.select(on), on, "left_anti").agg(
+            F.count(F.lit(1)).alias("n_rows")).select(F.lit(reason).alias("reason"), "n_rows")
+
+    apart = sums.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("reason"), F.coalesce(c, F.lit(0)).alias("n_rows"))
+        for c in ("no_price", "no_product_line")])))
+    return apart.unionByName(lost(pairs, dim_product, "product_id", "unknown_product")).unionByName(
+        lost(pairs, orders, key, "unknown_order"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from starloom import schemas as S
 
 REASONS = "reject_reasons"
+INEXACT = "_inexact"
 
 
 def with_reasons(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -58,9 +59,11 @@ def order_rules() -> dict[str, Column]:
 
 
 def product_rules() -> dict[str, Column]:
+    """Rules for products; ``INEXACT`` tells that the price is a number too long to be stored."""
     return {
         "missing_product_id": F.col("product_id").isNull(),
-        "bad_price": F.col("price").isNull(),
+        "bad_price": F.col("price").isNull() & ~F.col(INEXACT),
+        "inexact_price": F.col(INEXACT),
     }
 
 

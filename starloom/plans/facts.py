@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from starloom import functions as fn
 from starloom import schemas as S
 from starloom.operators import headers, keys
+from starloom.operators.history import asof_lookup
 from starloom.operators.pairing import pair_lines
 
 
@@ -22,29 +23,40 @@ def _lookup(orders: DataFrame, dim: DataFrame, on: str, source: str, key: str) -
     two-column side by its measured size anyway. When it has to shuffle, orders without an id,
     often the largest group, are spread by their order id (behind a character that no id holds)
     instead of meeting in one task; hot ids are split by adaptive skew handling, since the
-    dimension side has one row per id.
+    dimension side has one row per id. Such an order never meets a member, whatever its id.
     """
     spread = F.coalesce(F.col(on), F.concat(F.lit("\x00"), F.col("order_id")))
     right = dim.select(F.col(source).alias("_source"), key)
-    return orders.join(right, spread == F.col("_source"), "left").drop("_source")
+    known = (spread == F.col("_source")) & F.col(on).isNotNull()
+    return orders.join(right, known, "left").drop("_source")
 
 
 def order_headers(
     orders: DataFrame, links: DataFrame, campaign_links: DataFrame, delays: DataFrame,
     dim_user: DataFrame, dim_merchant: DataFrame, dim_staff: DataFrame, dim_campaign: DataFrame,
+    user_versions: DataFrame | None = None,
 ) -> DataFrame:
     """Orders with dimension keys and delay, without totals.
 
-    The three order-level joins share one shuffle on order_id.
+    The three order-level joins share one shuffle on order_id. With ``user_versions`` (user_id,
+    user_key, valid_from, valid_to) an order has the user key that was valid at its time, and
+    ``dim_user`` is not looked at.
     """
     base = orders.select("order_id", "user_id", fn.date_key(F.col("transaction_date")).alias("date_key"))
+    if user_versions is not None:
+        base = asof_lookup(
+            orders.select("order_id", "user_id", "transaction_date"), user_versions, "user_id",
+            "transaction_date", "user_key").select(
+            "order_id", "user_id", "user_key",
+            fn.date_key(F.col("transaction_date")).alias("date_key"))
     joined = (
         base
         .join(links.select("order_id", "merchant_id", "staff_id"), "order_id", "left")
         .join(campaign_links.select("order_id", "campaign_id"), "order_id", "left")
         .join(delays.select("order_id", "delay_in_days"), "order_id", "left")
     )
-    keyed = _lookup(joined, dim_user, "user_id", "source_user_id", "user_key")
+    keyed = joined if user_versions is not None else _lookup(
+        joined, dim_user, "user_id", "source_user_id", "user_key")
     keyed = _lookup(keyed, dim_merchant, "merchant_id", "source_merchant_id", "merchant_key")
     keyed = _lookup(keyed, dim_staff, "staff_id", "source_staff_id", "staff_key")
     keyed = _lookup(keyed, dim_campaign, "campaign_id", "campaign_id", "campaign_key")
@@ -64,7 +76,7 @@ def order_items(
     paired = pair_lines(products.select("order_id", "product_id", S.POSITION), prices)
     priced = paired.select(
         "order_id", "rn", "product_id", "quantity", F.col("price").alias("unit_price"),
-        (F.col("quantity").cast("decimal(10,0)") * F.col("price")).cast("decimal(28,4)")
+        (F.col("quantity").cast("decimal(10,0)") * F.col("price")).cast(S.TOTAL)
         .alias("total_price"))
     known = priced.join(dim_product.select("product_id", "product_key"), "product_id", "inner")
     head = headers_.select("order_id", "user_key", "merchant_key", "campaign_key", "date_key")
@@ -75,7 +87,7 @@ def order_items(
 
 def order_totals(items: DataFrame) -> DataFrame:
     """Sum of line totals per order; NULL when every line price is missing."""
-    return items.groupBy("order_id").agg(F.sum("total_price").alias("order_total"))
+    return items.groupBy("order_id").agg(F.sum("total_price").cast(S.TOTAL).alias("order_total"))
 
 
 def with_totals(headers_: DataFrame, totals: DataFrame) -> DataFrame:
@@ -83,7 +95,7 @@ def with_totals(headers_: DataFrame, totals: DataFrame) -> DataFrame:
     right = totals.select("order_id", "order_total", F.lit(True).alias("_has_lines"))
     total = F.when(F.col("_has_lines"), F.col("order_total")).otherwise(F.lit(0))
     return headers_.join(right, "order_id", "left").withColumn(
-        "total_amount", total.cast("decimal(38,4)")).drop("order_total", "_has_lines")
+        "total_amount", total.cast(S.TOTAL)).drop("order_total", "_has_lines")
 
 
 def fact_orders(headers_: DataFrame, totals: DataFrame) -> DataFrame:
@@ -106,8 +118,8 @@ def campaign_days(orders: DataFrame) -> DataFrame:
     """
     return orders.filter(F.col("campaign_key").isNotNull()).groupBy("campaign_key", "date_key").agg(
         F.count(F.lit(1)).cast("int").alias("total_orders"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.avg("total_amount").alias("average_order_value"),
+        F.sum("total_amount").cast(S.TOTAL).alias("total_revenue"),
+        F.avg("total_amount").cast("decimal(38,8)").alias("average_order_value"),
         F.count_distinct("user_key").cast("int").alias("unique_customers"))
 
 

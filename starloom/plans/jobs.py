@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import schemas as S
-from starloom.operators import validate
+from starloom.operators import dedup, validate
 from starloom.plans import dims, facts, staging
 from starloom.plans.load import Warehouse
 from starloom.session import side_by_side
-from starloom.sources import Source, read_source
+from starloom.sources import Source, read_source, union_slices
 
 _MANY = {
     "stg_order_data": staging.stage_orders,
@@ -45,11 +45,32 @@ def stage(table: str, slices: Sequence[DataFrame]) -> DataFrame:
     return _ONE[table](slices[0])
 
 
+#: Tables whose rows may be refused: rules for a slice, and what becomes of the accepted rows.
+_CHECKED = {
+    "stg_order_data": (staging.check_orders, dedup.dedup_exact),
+    "stg_product_list": (staging.check_products, dedup.dedup_exact),
+    "stg_line_item_data_products": (staging.check_line_products, lambda df: df),
+}
+
+
 def load_staging(wh: Warehouse, sources: Mapping[str, Sequence[Source]]) -> dict[str, dict]:
-    """Read, clean and replace staging tables from their source files, all at once."""
-    return wh.full_refresh_all({
-        table: stage(table, [read_source(wh.spark, spec, n) for n, spec in enumerate(specs)])
-        for table, specs in sources.items()})
+    """Read, clean and replace staging tables from their source files, all at once.
+
+    Refused rows replace ``<table>_rejects``, with their reasons. Checked rows are written once, so
+    no source is gone through twice for the two sides.
+    """
+    frames = {}
+    for table, specs in sources.items():
+        slices = [read_source(wh.spark, spec, n) for n, spec in enumerate(specs)]
+        if table not in _CHECKED:
+            frames[table] = stage(table, slices)
+            continue
+        check, finish = _CHECKED[table]
+        path, _ = wh.write(f"{table}_checked", union_slices([check(s) for s in slices]))
+        checked = wh.spark.read.parquet(path)
+        frames[table] = finish(validate.accepted(checked))
+        frames[f"{table}_rejects"] = validate.rejected(checked)
+    return wh.full_refresh_all(frames)
 
 
 @dataclass
@@ -82,8 +103,11 @@ def rebuild(
     """Dimensions, then facts, from published staging; all nine tables become visible together.
 
     Every table is written before the next one reads it, so each is computed once. Nothing is
-    published when a constraint fails.
+    published when a constraint fails. Orders on a day outside the calendar end the job, or, with
+    ``on_orphans="quarantine"``, go to the table ``orphan_orders`` and into no fact.
     """
+    if on_orphans not in ("fail", "quarantine"):
+        raise ValueError(f"on_orphans is fail or quarantine, not {on_orphans!r}")
     calendar = calendar or Calendar()
     spark = wh.spark
     written: dict[str, str] = {}
@@ -122,6 +146,11 @@ def rebuild(
     # headers feed the items and the order fact: computed once, kept as a written table
     head_path, _ = wh.write("_order_headers", head)
     head = spark.read.schema(head.schema).parquet(head_path)
+    if on_orphans == "quarantine":
+        days = star["dim_date"].select("date_key")
+        lost = head.filter("date_key IS NOT NULL").join(days, "date_key", "left_anti")
+        written["orphan_orders"], rows["orphan_orders"] = wh.write("orphan_orders", lost)
+        head = head.join(days, "date_key", "left_semi").unionByName(head.filter("date_key IS NULL"))
     items = put("fact_order_items", facts.fact_order_items(facts.order_items(
         stg["stg_line_item_data_products"], stg["stg_line_item_data_prices"],
         star["dim_product"], head)))

@@ -102,6 +102,26 @@ class Warehouse:
         entry = self.spark.range(0, 1, 1, 1).select(F.inline(records)).toDF(*_LOG.fieldNames())
         entry.write.mode("append").json(self._log_path)
 
+    def vacuum(self) -> int:
+        """Remove folders that no published state refers to; returns their number.
+
+        Folders of failed loads, of intermediate tables and of replaced loads go. Nobody may write
+        meanwhile, and readers of older snapshots lose them.
+        """
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        storage = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not storage.exists(root):
+            return 0
+        live = {p.rstrip("/").rsplit("/", 1)[-1] for ps in self.snapshot().values() for p in ps}
+        gone = 0
+        for table in storage.listStatus(root):
+            if table.isDirectory() and table.getPath().getName() != "_publish_log":
+                for load in storage.listStatus(table.getPath()):
+                    if load.isDirectory() and load.getPath().getName() not in live:
+                        gone += storage.delete(load.getPath(), True)
+        return gone
+
     # -- load modes --------------------------------------------------------------------
     def full_refresh(self, table: str, df: DataFrame) -> dict:
         """Replace a table as a whole, after its constraints hold on the written files."""
@@ -120,10 +140,10 @@ class Warehouse:
 
     def append(self, table: str, df: DataFrame) -> dict:
         """Append a batch. An empty batch publishes nothing; a key conflict refuses the batch."""
-        if df.isEmpty():
-            return {"table": table, "rows_loaded": 0}
         current = self._current(table, df)
         path, n = self.write(table, self._fit(table, current, df))
+        if not n:  # the folder stays unpublished until the next vacuum
+            return {"table": table, "rows_loaded": 0}
         batch = self.spark.read.parquet(path)
         for key in S.UNIQUE.get(table, ()):
             clash = validate.known_keys(current, batch, key).select(

@@ -181,14 +181,17 @@ def stage_credit_cards(df: DataFrame) -> DataFrame:
 def check_products(df: DataFrame, normalise: bool = True) -> DataFrame:
     """Product list with reject reasons; dirty batches keep names as given (``normalise=False``)."""
     prepared = _prepared(df, "stg_product_list")
-    cleaned = prepared.withColumn("price", fn.decimal_from_text(F.col("price")))
+    cleaned = prepared.withColumns({
+        "price": fn.decimal_from_text(F.col("price")),
+        validate.INEXACT: F.coalesce(fn.inexact_number(F.col("price")), F.lit(False))})
     if normalise:
         cleaned = cleaned.withColumns({
             "product_type": fn.spaced_lower(F.col("product_type")),
             "product_name": fn.trim_ws(F.lower(F.col("product_name"))),
         })
-    typed = headers.conform(cleaned, S.STAGING["stg_product_list"])
-    return validate.with_reasons(typed, validate.product_rules())
+    typed = headers.conform(
+        cleaned, S.STAGING["stg_product_list"], [S.POSITION, validate.INEXACT])
+    return validate.with_reasons(typed, validate.product_rules()).drop(validate.INEXACT)
 
 
 def stage_products(df: DataFrame) -> DataFrame:

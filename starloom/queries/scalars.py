@@ -46,7 +46,8 @@ SELECT o_orderkey, (o_orderkey % 30)::INTEGER AS from_text,
        CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN NULL
             ELSE (o_orderkey % 97)::INTEGER END AS from_bad_text,
        trunc(o_totalprice)::INTEGER AS from_number,
-       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS price
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS price,
+       (o_orderkey % 1000003) / 1e6::DOUBLE AS fraction, o_orderkey % 3 = 2 AS inexact
 FROM orders
 """)
 def scalar_digits(spark, sf_dir):
@@ -58,13 +59,18 @@ def scalar_digits(spark, sf_dir):
         F.when(k % 5 == 0, "n/a").when(k % 5 == 1, "99999999999")
         .otherwise(F.concat(F.lit("-"), st.text(k % 97))).alias("bad"),
         F.when(k % 3 == 0, F.when(k % 2 == 0, "inf").otherwise("free"))
-        .otherwise(st.text("o_totalprice")).alias("p"))
+        .otherwise(st.text("o_totalprice")).alias("p"),
+        F.concat(F.lit("0."), F.lpad(st.text(k % 1000003), 6, "0")).alias("millionths"),
+        F.when(k % 3 == 0, "none").when(k % 3 == 1, "0.1234567891")
+        .otherwise("0.12345678912").alias("long"))
     return df.select(
         k, fn.digits_to_int(F.col("t")).alias("from_text"),
         fn.digits_to_int(F.col("bad")).alias("from_bad_text"),
         fn.digits_to_int(F.col("o_totalprice"), df.schema["o_totalprice"].dataType).alias(
             "from_number"),
-        fn.decimal_from_text(F.col("p")).cast("double").alias("price"))
+        fn.decimal_from_text(F.col("p")).cast("double").alias("price"),
+        fn.decimal_from_text(F.col("millionths")).cast("double").alias("fraction"),
+        F.coalesce(fn.inexact_number(F.col("long")), F.lit(False)).alias("inexact"))
 
 
 @query("scalar_discount", r"""
@@ -84,17 +90,22 @@ def scalar_discount(spark, sf_dir):
 
 
 @query("scalar_dates", r"""
-SELECT event_id, CASE event_id % 4 WHEN 0 THEN ts::DATE::TIMESTAMP WHEN 1 THEN NULL
-            WHEN 2 THEN date_trunc('second', ts) ELSE ts END AS stamp,
-       CASE WHEN event_id % 4 <> 1 THEN ts::DATE END AS day
+SELECT event_id, CASE event_id % 9 WHEN 0 THEN ts::DATE::TIMESTAMP WHEN 1 THEN NULL
+            WHEN 2 THEN date_trunc('second', ts) WHEN 3 THEN ts WHEN 4 THEN date_trunc('second', ts)
+            ELSE ts::DATE::TIMESTAMP END AS stamp,
+       CASE WHEN event_id % 9 <> 1 THEN ts::DATE END AS day
 FROM events
 """)
 def scalar_dates(spark, sf_dir):
-    """Dates, date-times with and without fractions, and texts that are neither."""
+    """Dates and date-times in many spellings, and texts that are neither."""
     k = F.col("event_id")
-    raw = F.when(k % 4 == 0, F.date_format("ts", "yyyy-MM-dd")).when(k % 4 == 1, "soon").when(
-        k % 4 == 2, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    spellings = [
+        "yyyy-MM-dd", None, "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+        "M/d/yyyy H:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy", "yyyyMMdd", "MMM d, yyyy"]
+    raw = F.lit("soon")
+    for i, spelling in enumerate(spellings):
+        if spelling:
+            raw = F.when(k % 9 == i, F.date_format("ts", spelling)).otherwise(raw)
     return st.table(spark, sf_dir, "events").select(
         k, fn.to_stamp(raw).alias("stamp"), fn.to_date_lenient(raw).alias("day"))
 

@@ -150,18 +150,21 @@ SELECT order_id, user_id, estimated_arrival, transaction_date FROM stg_orders
 """)
 def union_order_slices(spark, sf_dir):
     """Six order slices with different headers that overlap by a month, united without doubles."""
-    raw = st.raw_orders(spark, sf_dir)
-    day = F.col("transaction_date").cast("timestamp_ntz")
+    # slices are cut on the column itself, so their bounds reach the scan
+    orders = st.table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate")
     odd = [lambda c: c.upper(), lambda c: f" {c}", lambda c: c.lower(),
            lambda c: c.title(), lambda c: f"{c} ", lambda c: c.replace("_", " ")]
     bounds = [None, *_SLICE_DAYS, None]
     slices = []
     for i, rename in enumerate(odd):
-        part = raw
+        part = orders
         if bounds[i]:
-            part = part.filter(day >= F.add_months(F.lit(bounds[i]).cast("date"), -1))
+            begin = F.add_months(F.lit(bounds[i]).cast("date"), -1).cast("timestamp_ntz")
+            part = part.filter(day >= begin)
         if bounds[i + 1]:
-            part = part.filter(day < F.lit(bounds[i + 1]).cast("date"))
+            part = part.filter(day < F.lit(bounds[i + 1]).cast("date").cast("timestamp_ntz"))
+        part = st.as_raw_orders(part)
         part = part.withColumn(S.POSITION, F.col(S.POSITION).withField("slice", F.lit(i)))
         slices.append(part.toDF(*[rename(c) if c != S.POSITION else c for c in part.columns]))
     return staging.stage_orders(slices)

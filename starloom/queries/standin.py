@@ -11,7 +11,6 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from starloom import schemas as S
 from starloom.plans import dims, facts, staging
@@ -20,14 +19,8 @@ from starloom.sources import read_parquet
 from starloom.sources.position import row_position
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text(c: str | Column) -> Column:
@@ -48,7 +41,11 @@ def money(c: str) -> Column:
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A clean order file: ids and dates as text, arrival like "7days"."""
-    return table(spark, sf_dir, "orders").select(
+    return as_raw_orders(table(spark, sf_dir, "orders"))
+
+
+def as_raw_orders(orders: DataFrame) -> DataFrame:
+    return orders.select(
         text("o_orderkey").alias("Order ID"),
         text("o_custkey").alias("user_id"),
         F.concat(text(F.col("o_orderkey") % 20), F.lit("days")).alias("Estimated Arrival"),
@@ -322,16 +319,7 @@ def raw_dirty_line_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- star schema -----------------------------------------------------------------------
-# Dimensions are published tables that several facts read, so a session builds them once.
-
-_BUILT: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def built(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _BUILT:
-        _BUILT[key] = build(spark, sf_dir, name)
-    return _BUILT[key]
+# Every query builds the dimensions it needs; their keys are numbered in written tables.
 
 
 def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -349,19 +337,18 @@ def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    side_by_side([partial(built, spark, sf_dir, f"dim_{d}") for d in (
-        "user", "merchant", "staff", "product", "campaign")])
+    users, merchants, staff, campaigns = side_by_side([
+        partial(build, spark, sf_dir, f"dim_{d}") for d in ("user", "merchant", "staff", "campaign")])
     return facts.order_headers(
         stg_orders(spark, sf_dir), stg_order_links(spark, sf_dir),
         stg_campaign_links(spark, sf_dir), stg_delays(spark, sf_dir),
-        built(spark, sf_dir, "dim_user"), built(spark, sf_dir, "dim_merchant"),
-        built(spark, sf_dir, "dim_staff"), built(spark, sf_dir, "dim_campaign"))
+        users, merchants, staff, campaigns)
 
 
 def order_items(spark: SparkSession, sf_dir: str, headers: DataFrame) -> DataFrame:
     return facts.order_items(
         stg_line_products(spark, sf_dir), stg_line_prices(spark, sf_dir),
-        built(spark, sf_dir, "dim_product"), headers)
+        build(spark, sf_dir, "dim_product"), headers)
 
 
 def money_as_double(df: DataFrame, *columns: str) -> DataFrame:

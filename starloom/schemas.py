@@ -21,6 +21,22 @@ WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 MISSING_LEVEL = "N/A"
+# Date spellings besides ISO, tried in this order; month before day. The pattern
+# decides, so that a text goes through one parser only.
+DATE_FORMATS = (
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}$", "yyyy/M/d H:mm"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+)
 CALENDAR_START = "2020-01-01"
 CALENDAR_END = "2030-12-31"
 
@@ -28,7 +44,11 @@ ID = T.StringType()
 TEXT = T.StringType()
 INT = T.IntegerType()
 KEY = T.LongType()
-MONEY = T.DecimalType(18, 4)
+# Prices as read; a quantity times a price and sums of those keep all ten places.
+MONEY = T.DecimalType(27, 10)
+TOTAL = T.DecimalType(38, 10)
+# A number is read through this type first: a price that differs from it would be rounded.
+WIDE_NUMBER = T.DecimalType(38, 20)
 STAMP = T.TimestampNTZType()
 DATE = T.DateType()
 FLAG = T.BooleanType()
@@ -100,14 +120,14 @@ STAR = {
         campaign_key=KEY, campaign_id=ID, campaign_name=TEXT, description=TEXT, discount=MONEY),
     "fact_orders": _table(
         order_key=KEY, order_id=ID, user_key=KEY, merchant_key=KEY, staff_key=KEY,
-        campaign_key=KEY, date_key=INT, delay_in_days=INT, total_amount=T.DecimalType(38, 4)),
+        campaign_key=KEY, date_key=INT, delay_in_days=INT, total_amount=TOTAL),
     "fact_order_items": _table(
         order_item_key=KEY, order_id=ID, product_key=KEY, user_key=KEY, merchant_key=KEY,
         campaign_key=KEY, date_key=INT, quantity=INT, unit_price=MONEY,
-        total_price=T.DecimalType(28, 4)),
+        total_price=TOTAL),
     "fact_campaign_performance": _table(
         campaign_perf_key=KEY, campaign_key=KEY, date_key=INT, total_orders=INT,
-        total_revenue=T.DecimalType(38, 4), average_order_value=T.DecimalType(38, 8),
+        total_revenue=TOTAL, average_order_value=T.DecimalType(38, 8),
         unique_customers=INT),
 }
 

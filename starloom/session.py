@@ -6,8 +6,6 @@ somebody else built (a notebook, spark-submit, the bench).
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -39,30 +37,35 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_FALLBACK_SCRATCH: dict[str, str] = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``).
-
-    A machine-local folder is used only when the session runs in local mode and names none;
-    on a cluster the setting is required, because other executors must be able to read it.
+    """The shared folder of the cluster: ``spark.checkpoint.dir``, or the folder that was set on
+    the context with ``setCheckpointDir``. One of them is required, because a folder of one machine
+    cannot be read by the others.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.conf.get("spark.app.id", "app")
-    if app not in _FALLBACK_SCRATCH:
-        _FALLBACK_SCRATCH[app] = tempfile.mkdtemp(prefix="starloom-")
-    return _FALLBACK_SCRATCH[app]
+    return found.rstrip("/")
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{scratch_root(spark)}/starloom/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is ever overwritten there."""
-    return os.path.join(scratch_root(spark), "starloom", f"{name}-{uuid.uuid4().hex}")
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Removes the intermediate tables of this application, when nothing reads them any more.
+
+    Published tables lie in the warehouse and are not touched. True if there was anything.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,25 +41,76 @@ def read_parquet(
     return reader.parquet(path).withColumn(S.POSITION, parquet_position(slice_no))
 
 
+DAMAGED = "_damaged"
+
+
+def _csv_layouts(spark: SparkSession, path: str) -> list[tuple[str, list[str], bool]]:
+    """(header, files, whether a line has an odd number of quotes) per distinct header line.
+
+    One scan of the lines; what comes back are the headers and the names of the files.
+    """
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        (quotes % 2 == 1).alias("odd")).filter(F.trim("value") != "")
+    files = lines.groupBy("file").agg(
+        F.min_by("value", "at").alias("header"), F.bool_or("odd").alias("odd"))
+    found = files.groupBy("header", "odd").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return sorted((r["header"], r["files"], r["odd"]) for r in found.collect())
+
+
 def read_csv(
-    spark: SparkSession, path: str, slice_no: int = 0, multi_line: bool = False
+    spark: SparkSession, path: str, slice_no: int = 0, multi_line: bool = False,
+    damaged: bool = False,
 ) -> DataFrame:
-    """Comma-separated file with a header row; every column is text, null spellings are NULL.
+    """Comma-separated files with a header row; every column is text, null spellings are NULL.
 
-    ``multi_line`` admits line breaks inside quotes at the price of unsplittable files.
+    Files of a folder may list their columns in different orders: each is read by its own header,
+    columns that a file lacks are NULL. Files in which a line has an odd number of quotes hold line
+    breaks inside quotes and are read whole, as ``multi_line`` reads all files.
+    A record with too many or too few fields ends the job, or, with ``damaged``, comes with its text
+    in the column ``_damaged``.
     """
-    df = spark.read.csv(
-        path, header=True, inferSchema=False, escape='"', multiLine=multi_line)
+    layouts = _csv_layouts(spark, path)
+    if len(layouts) < 2:
+        whole = multi_line or any(odd for _, _, odd in layouts)
+        return _csv_files(spark, path, slice_no, whole, damaged)
+    return union_slices([
+        _csv_files(spark, files, slice_no, multi_line or odd, damaged)
+        for _, files, odd in layouts])
+
+
+def _csv_files(
+    spark: SparkSession, paths: str | list[str], slice_no: int, multi_line: bool, damaged: bool
+) -> DataFrame:
+    reader = spark.read.option("header", True).option("escape", '"').option(
+        "multiLine", multi_line).option("columnPruning", False)
+    names = reader.option("inferSchema", False).csv(paths).columns
+    fields = [*names, DAMAGED] if damaged else names
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in fields])
+    mode = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": DAMAGED} if damaged else {
+        "mode": "FAILFAST"}
+    if not names:  # empty files
+        return _nulls(with_text_position(reader.csv(paths), slice_no))
+    df = reader.options(**mode).schema(schema).csv(paths)
     return _nulls(with_text_position(df, slice_no))
 
 
 def read_json_records(
     spark: SparkSession, path: str, columns: Sequence[str], slice_no: int = 0,
-    multi_line: bool = True,
+    multi_line: bool = False, damaged: bool = False,
 ) -> DataFrame:
-    """Array of records (``multi_line``) or one record per line; declared columns, as text."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = spark.read.schema(schema).json(path, multiLine=multi_line)
+    """One record per line, or arrays of records (``multi_line``, one task per file).
+
+    Declared columns, as text. A record that is no JSON ends the job, or, with ``damaged``, comes
+    with its text (a whole file, if arrays are read) in the column ``_damaged``.
+    """
+    fields = [*columns, DAMAGED] if damaged else columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in fields])
+    mode = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": DAMAGED} if damaged else {
+        "mode": "FAILFAST"}
+    df = spark.read.schema(schema).options(**mode).json(path, multiLine=multi_line)
     return _nulls(with_text_position(df, slice_no))
 
 
@@ -89,10 +142,15 @@ def columnar_json_rows(
     """Rows out of documents shaped ``{column: {row index: value}}``.
 
     Columns of a document are aligned on the row index (outer). Groups are single records: at
-    most one cell per column.
+    most one cell per column. A document that cannot be parsed ends the job; an empty text has no
+    rows.
     """
     nested = T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))
-    parsed = docs.select(F.col(file).alias("_file"), F.from_json(F.col(text), nested).alias("_doc"))
+    doc = F.from_json(F.col(text), nested)
+    broken = F.raise_error(F.concat(F.lit("no columnar JSON document: "), F.col(file).cast("string")))
+    parsed = docs.select(
+        F.col(file).alias("_file"),
+        F.when(doc.isNull() & (F.trim(F.col(text)) != ""), broken).otherwise(doc).alias("_doc"))
     cells = (
         parsed.select("_file", F.size("_doc").alias("_width"),
                       F.posexplode("_doc").alias("_ord", "_name", "_values"))
@@ -158,13 +216,22 @@ _READERS = {
 
 
 def read_source(spark: SparkSession, source: Source, slice_no: int = 0) -> DataFrame:
-    """Read one source by its format; an unknown format goes to ``fallback`` if one is named."""
+    """Read one source by its format.
+
+    A format without a reader, and a file that its reader refuses when it is opened (a Parquet
+    reader meeting no Parquet file), go to ``fallback`` if one is named. Damage that is met later,
+    in the middle of the data, still ends the job.
+    """
     fmt = _format_of(source)
-    if fmt not in _READERS:
-        if source.fallback not in _READERS:
-            raise ValueError(f"no reader for format {fmt!r} of {source.path}")
-        fmt = source.fallback
-    return _READERS[fmt](spark, source, slice_no)
+    if fmt in _READERS:
+        try:
+            return _READERS[fmt](spark, source, slice_no)
+        except (PySparkException, Py4JJavaError):
+            if source.fallback not in _READERS:
+                raise
+    elif source.fallback not in _READERS:
+        raise ValueError(f"no reader for format {fmt!r} of {source.path}")
+    return _READERS[source.fallback](spark, source, slice_no)
 
 
 def union_slices(slices: Sequence[DataFrame], distinct: bool = False) -> DataFrame:

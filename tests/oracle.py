@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -76,7 +77,8 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:] or list(QUERIES)
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g").getOrCreate())
+             .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="oracle-")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     failed = 0

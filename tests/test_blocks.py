@@ -131,3 +131,40 @@ def test_new_members_are_current_from_the_run_on(spark):
     got = history.current_versions(spark.createDataFrame([("a",)], "id string"), run).first()
     assert (str(got["valid_from"]), got["valid_to"], got["is_current"]) == (
         "2024-05-01 10:00:00", None, True)
+
+
+def test_asof_with_ties_missing_parts_and_a_hot_id(spark):
+    day = "timestamp_ntz'2024-01-0{} 00:00:00'"
+    versions = spark.sql(
+        f"SELECT * FROM VALUES ('a', {day.format(2)}, {day.format(2)}, 1), ('a', {day.format(2)}, {day.format(4)}, 2),"
+        f"('a', {day.format(2)}, {day.format(4)}, 3), ('a', {day.format(4)}, NULL, 4), (NULL, {day.format(1)}, NULL, 8),"
+        f"('a', NULL, NULL, 9) AS t(id, valid_from, valid_to, k)")
+    hot = spark.range(3000).selectExpr("'a' AS id", f"{day.format(3)} AS at", "id AS row")
+    odd = spark.sql(
+        f"SELECT * FROM VALUES ('a', {day.format(1)}, -1L), ('a', {day.format(4)}, -2L), (NULL, {day.format(4)}, -3L),"
+        f"('a', NULL, -4L), ('b', {day.format(4)}, -5L) AS t(id, at, row)")
+    for order in ("k", "-k"):
+        out = history.asof_lookup(
+            hot.unionByName(odd), versions.orderBy(F.expr(order)), "id", "at", "k")
+        got = {r["row"]: r["k"] for r in out.collect()}
+        assert len(got) == 3005 and {got[i] for i in range(3000)} == {3}
+        assert [got[-i] for i in range(1, 6)] == [None, 4, None, None, None]
+
+
+def test_versions_without_id_or_start(spark):
+    df = spark.sql("SELECT * FROM VALUES ('a', DATE'2024-01-01'), ('a', DATE'2024-02-01'), (NULL, DATE'2024-01-01'),"
+                   "('a', NULL) AS t(id, valid_from)")
+    got = {(r["id"], str(r["valid_from"])): (str(r["valid_to"]), r["is_current"])
+           for r in history.scd2_versions(df, "id").collect()}
+    assert got == {("a", "2024-01-01"): ("2024-02-01", False), ("a", "2024-02-01"): ("None", True),
+                   (None, "2024-01-01"): ("None", False), ("a", "None"): ("None", False)}
+
+
+def test_a_hot_id_on_one_day_has_many_blocks(spark):
+    df = spark.range(8000).selectExpr("'hot' AS id", "DATE'2024-01-01' AS t", "id AS n")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows are merged else
+    try:
+        found = blocks.range_blocks(df, ["id", "t", F.xxhash64("n")], "b").groupBy("block").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(found) > 4 and max(r["count"] for r in found) < 4000

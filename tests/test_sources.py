@@ -1,10 +1,12 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from starloom import schemas as S
 from starloom import sources
+from starloom.sources import Source
 from starloom.sources.html import first_table
 
 
@@ -27,6 +29,62 @@ def test_csv_text_nulls_and_order(spark, tmp_path):
 def test_csv_line_breaks_in_quotes(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'a,b\n"x\ny",1\n')
     assert data(sources.read_csv(spark, path, multi_line=True)) == [("x\ny", "1")]
+    assert data(sources.read_csv(spark, path)) == [("x\ny", "1")]
+    path = write(tmp_path / "b.csv", 'a,b\n1,"x\ny"\n2,z\n')  # a break in the last column
+    assert data(sources.read_csv(spark, path)) == [("1", "x\ny"), ("2", "z")]
+
+
+def test_csv_folder_with_two_column_orders(spark, tmp_path):
+    for name, text in (("a", "order_id,user_id\nO1,U1\n"), ("b", "user_id,order_id,more\nU2,O2,x\n"),
+                       ("c", 'order_id,user_id\nO3,"U\n3"\n')):
+        write(tmp_path / f"{name}.csv", text)
+    df = sources.read_csv(spark, str(tmp_path)).select("order_id", "user_id", "more")
+    assert sorted(map(tuple, df.collect())) == [
+        ("O1", "U1", None), ("O2", "U2", "x"), ("O3", "U\n3", None)]
+
+
+@pytest.mark.parametrize("row", ["1,U1,EXTRA", "1"])
+def test_csv_records_of_other_length(spark, tmp_path, row):
+    path = write(tmp_path / "a.csv", f"a,b\n{row}\n2,U2\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        sources.read_csv(spark, path).collect()
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        sources.read_csv(spark, path).select("a").collect()
+    df = sources.read_csv(spark, path, damaged=True)
+    assert [(r["a"], r["_damaged"]) for r in df.orderBy("a").collect()] == [("1", row), ("2", None)]
+
+
+def test_damaged_json(spark, tmp_path):
+    whole = json.dumps([{"id": 1, "n": "x"}, {"id": 2, "n": "y"}])
+    cut = write(tmp_path / "cut.json", whole[:-9])
+    lines = write(tmp_path / "lines.json", '{"id": 1, "n": "x"}\n{"id": 2, "n"\n')
+    for path, multi in ((cut, True), (lines, False)):
+        with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+            sources.read_json_records(spark, path, ["id", "n"], multi_line=multi).collect()
+    df = sources.read_json_records(spark, lines, ["id", "n"], damaged=True)
+    assert {(r["id"], r["_damaged"]) for r in df.collect()} == {("1", None), (None, '{"id": 2, "n"')}
+    columnar = write(tmp_path / "columnar.json", '{"id": {"0": 1, "1"')
+    with pytest.raises(Exception, match="no columnar JSON document"):
+        sources.read_json_columnar(spark, columnar, ["id"]).collect()
+
+
+def test_fallback_when_a_file_is_refused(spark, tmp_path):
+    path = write(tmp_path / "a.parquet", "a,b\n1,2\n")
+    assert data(sources.read_source(spark, Source(path, fallback="csv"))) == [("1", "2")]
+    with pytest.raises(Exception):
+        sources.read_source(spark, Source(path)).collect()
+
+
+@pytest.mark.parametrize("part", ['<td "', "<!--", "<td colspan='", "<tr><td>", "<table>", "<script>", "<"])
+def test_hostile_pages_take_linear_time(part):
+    start = time.perf_counter()
+    first_table("<table><tr><td>1</td></tr>" + part * (1_000_000 // len(part)))
+    assert time.perf_counter() - start < 15
+
+
+def test_spans_are_bounded():
+    header, body = first_table('<table><tr><td colspan="999999999" rowspan=0>x</td></tr></table>')
+    assert len(header) == 1000 and len(body) == 1
 
 
 def test_text_positions_follow_files_and_lines(spark, tmp_path):
@@ -45,7 +103,8 @@ def test_parquet_positions(spark, tmp_path):
 
 def test_json_records_array(spark, tmp_path):
     path = write(tmp_path / "a.json", json.dumps([{"id": 1, "n": "x"}, {"id": 2.5, "n": "null"}]))
-    assert data(sources.read_json_records(spark, path, ["id", "n"])) == [("1", "x"), ("2.5", None)]
+    assert data(sources.read_json_records(
+        spark, path, ["id", "n"], multi_line=True)) == [("1", "x"), ("2.5", None)]
 
 
 def test_json_columnar_aligns_outer(spark, tmp_path):
