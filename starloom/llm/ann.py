@@ -24,9 +24,8 @@ from starloom.session import materialise
 
 SEED = 7
 
-#: Half-width of the bounds in standard deviations of the estimate: a vector just good enough is
-#: missed with a chance of 1.4 %, a better one with less.
-DEVIATIONS = 2.2
+#: Half-width of the bounds in standard deviations of the estimate.
+DEVIATIONS = 3.0
 
 #: Vectors and queries in a block, and parts that the vectors are dealt to (each part hands on one
 #: list per query).
@@ -132,7 +131,7 @@ class _Best:
         cuts = np.searchsorted(q, np.arange(len(self.ids) + 1))
         scores = np.concatenate([np.zeros(0)] + [
             self._scores(original, v[a:b], i) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a])
-        enough = scores >= self.score[q, -1]
+        enough = scores >= least[q]
         q, scores, new = q[enough], scores[enough], ids[v[enough]]
         held_q, held_k = np.nonzero(np.isfinite(self.score))
         q = np.concatenate([held_q, q])
