@@ -99,12 +99,15 @@ def _refuse_repeated_orders(orders: DataFrame, side: DataFrame, table: str) -> N
 
 def rebuild(
     wh: Warehouse, calendar: Calendar | None = None, on_orphans: str = "fail",
+    keep_keys: bool = False,
 ) -> dict[str, int]:
     """Dimensions, then facts, from published staging; all nine tables become visible together.
 
     Every table is written before the next one reads it, so each is computed once. Nothing is
     published when a constraint fails. Orders on a day outside the calendar end the job, or, with
-    ``on_orphans="quarantine"``, go to the table ``orphan_orders`` and into no fact.
+    ``on_orphans="quarantine"``, go to the table ``orphan_orders`` and into no fact. With
+    ``keep_keys`` users, merchants and staff that are already published keep their keys and new
+    ones are numbered after them.
     """
     if on_orphans not in ("fail", "quarantine"):
         raise ValueError(f"on_orphans is fail or quarantine, not {on_orphans!r}")
@@ -126,11 +129,16 @@ def rebuild(
 
     now = wh.snapshot()
     stg = {t: _staged(wh, t, now) for t in S.STAGING if t != "stg_user_credit_card"}
+
+    def known(table: str) -> DataFrame | None:
+        return wh.read(table, S.STAR[table], now) if keep_keys and table in now else None
+
     plans = {
         "dim_date": lambda: dims.dim_date(spark, calendar.start, calendar.end),
-        "dim_user": lambda: dims.dim_user(stg["stg_user_data"], stg["stg_user_job"]),
-        "dim_merchant": lambda: dims.dim_merchant(stg["stg_merchant_data"]),
-        "dim_staff": lambda: dims.dim_staff(stg["stg_staff_data"]),
+        "dim_user": lambda: dims.dim_user(
+            stg["stg_user_data"], stg["stg_user_job"], known("dim_user")),
+        "dim_merchant": lambda: dims.dim_merchant(stg["stg_merchant_data"], known("dim_merchant")),
+        "dim_staff": lambda: dims.dim_staff(stg["stg_staff_data"], known("dim_staff")),
         "dim_product": lambda: dims.dim_product(stg["stg_product_list"]),
         "dim_campaign": lambda: dims.dim_campaign(stg["stg_campaign_data"]),
     }
@@ -184,7 +192,7 @@ class Batch:
 
     ``kind`` picks the rules: "late" (bulk append, columns cleaned, nothing rejected), "test"
     (hand-made file) or "dirty" (row-isolated append with rejects). ``path`` None means there is
-    nothing to append.
+    nothing to append, unless a ``default`` file lies where batches land.
     """
 
     table: str
@@ -192,6 +200,7 @@ class Batch:
     kind: str = "late"
     format: str | None = None
     options: dict = field(default_factory=dict)
+    default: str | None = None
 
 
 def _late(table: str, raw: DataFrame) -> DataFrame:
@@ -222,10 +231,11 @@ def _dirty(table: str, raw: DataFrame) -> DataFrame:
 
 def append_batch(wh: Warehouse, batch: Batch) -> dict:
     """Append one batch to its staging table."""
-    if batch.path is None:
+    path = batch.path or batch.default
+    if path is None:
         return {"table": batch.table, "rows_loaded": 0}
     source = Source(
-        batch.path, batch.format, tuple(S.STAGING[batch.table].fieldNames()), "csv",
+        path, batch.format, tuple(S.STAGING[batch.table].fieldNames()), "csv",
         batch.options)
     raw = read_source(wh.spark, source)
     if batch.kind == "dirty":

@@ -60,3 +60,14 @@ def identity_match(spark, sf_dir):
         F.when(k % 10 != 0, F.when(k % 7 == 0, F.lower("c_name")).otherwise(F.col("c_name")))
         .alias("name"))
     return h.identity_match(rows, dim, ["user_id", "name"], ["source_user_id", "name"], "user_key")
+
+
+@query("current_versions", """
+SELECT c_custkey::VARCHAR AS user_id, TIMESTAMP '2024-05-06 07:08:09' AS valid_from,
+       NULL::TIMESTAMP AS valid_to, true AS is_current
+FROM customer
+""")
+def current_versions(spark, sf_dir):
+    """Members found by a run are valid from its time on."""
+    users = st.table(spark, sf_dir, "customer").select(st.text("c_custkey").alias("user_id"))
+    return h.current_versions(users, F.lit("2024-05-06 07:08:09").cast("timestamp_ntz"))

@@ -87,6 +87,52 @@ def load_append(spark, sf_dir):
         "order_id", "product_id", F.col(f"{S.POSITION}.slice").alias("load_no"))
 
 
+@query("refresh_rejects", """
+SELECT CASE WHEN p_partkey % 11 <> 0 THEN p_partkey::VARCHAR END AS product_id,
+       lower(p_name) AS product_name,
+       concat_ws(',', CASE WHEN p_partkey % 11 = 0 THEN 'missing_product_id' END,
+                 CASE WHEN p_partkey % 6 < 2 THEN 'bad_price' END) AS reject_reasons
+FROM part WHERE p_partkey % 11 = 0 OR p_partkey % 6 < 2
+""")
+def refresh_rejects(spark, sf_dir):
+    """A full load of dirty products keeps what it refuses, with the reasons."""
+    path = scratch_path(spark, "dirty-products")
+    st.raw_dirty_products(spark, sf_dir).drop(S.POSITION).write.parquet(path)
+    wh = _warehouse(spark, "rejects")
+    jobs.load_staging(wh, {"stg_product_list": [Source(path, "parquet")]})
+    return wh.read("stg_product_list_rejects").select("product_id", "product_name", "reject_reasons")
+
+
+@query("incremental_keys", """
+SELECT CASE WHEN s_suppkey % 2 = 0 THEN rank() OVER (PARTITION BY s_suppkey % 2 ORDER BY s_suppkey::VARCHAR)
+            ELSE (SELECT count(*) FROM supplier WHERE s_suppkey % 2 = 0)
+                 + rank() OVER (PARTITION BY s_suppkey % 2 ORDER BY s_suppkey::VARCHAR) END AS merchant_key,
+       s_suppkey::VARCHAR AS source_merchant_id
+FROM supplier
+""")
+def incremental_keys(spark, sf_dir):
+    """Half of the merchants, then all of them: a second job keeps the keys of the first."""
+    wh = _warehouse(spark, "incremental")
+    staged = st.stg_merchants(spark, sf_dir)
+    wh.full_refresh("stg_merchant_data", staged.filter("CAST(merchant_id AS BIGINT) % 2 = 0"))
+    jobs.rebuild(wh)
+    wh.full_refresh("stg_merchant_data", staged)
+    jobs.rebuild(wh, keep_keys=True)
+    return wh.read("dim_merchant").select("merchant_key", "source_merchant_id")
+
+
+@query("quarantine_orphans", """
+SELECT o_orderkey::VARCHAR AS order_id, strftime(o_orderdate, '%Y%m%d')::INTEGER AS date_key
+FROM orders WHERE o_orderdate >= '1998-01-01'
+""")
+def quarantine_orphans(spark, sf_dir):
+    """Orders on days that the calendar lacks stay out of the facts and are kept apart."""
+    wh = _warehouse(spark, "orphans")
+    wh.full_refresh("stg_order_data", st.stg_orders(spark, sf_dir))
+    jobs.rebuild(wh, jobs.Calendar("1994-01-01", "1997-12-31"), on_orphans="quarantine")
+    return wh.read("orphan_orders").select("order_id", "date_key")
+
+
 def _source_files(spark: SparkSession, sf_dir: str) -> dict[str, list[Source]]:
     """The stand-ins written in the formats that departments deliver."""
     def files(df: DataFrame, name: str, fmt: str, **options) -> Source:

@@ -44,6 +44,82 @@ def scan_csv(spark, sf_dir):
     return sources.read_csv(spark, path).drop(S.POSITION)
 
 
+@query("scan_csv_mixed_headers", """
+SELECT c_custkey::VARCHAR AS user_id, c_name AS name,
+       CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS segment,
+       CASE WHEN c_custkey % 3 = 0 THEN 'line one' || chr(10) || c_custkey ELSE 'plain' END AS note
+FROM customer
+""")
+def scan_csv_mixed_headers(spark, sf_dir):
+    """A folder whose files order their columns differently; notes hold quoted line breaks."""
+    k = F.col("c_custkey")
+    path = scratch_path(spark, "csv-mixed")
+    note = F.when(k % 3 == 0, F.concat(F.lit("line one\n"), st.text(k))).otherwise("plain")
+    base = st.table(spark, sf_dir, "customer").select(
+        st.text(k).alias("user_id"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("segment"), note.alias("note"))
+    key = F.col("user_id").cast("long")
+    base.filter(key % 2 == 0).select("user_id", "name", "note").write.csv(
+        path, header=True, escape='"')
+    base.filter(key % 2 == 1).select("note", "segment", "name", "user_id").write.mode("append").csv(
+        path, header=True, escape='"')
+    return sources.read_csv(spark, path).drop(S.POSITION)
+
+
+@query("scan_csv_ragged", """
+SELECT c_custkey::VARCHAR AS user_id,
+       CASE WHEN c_custkey % 5 = 0 THEN c_custkey || ',' || c_name || ',EXTRA'
+            WHEN c_custkey % 7 = 0 THEN c_custkey::VARCHAR END AS damaged_record,
+       CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 7 <> 0 THEN c_name END AS name
+FROM customer
+""")
+def scan_csv_ragged(spark, sf_dir):
+    """Records with a field too many or too few come with their text; the others are whole."""
+    k = F.col("c_custkey")
+    path = scratch_path(spark, "csv-ragged")
+    line = F.when(k % 5 == 0, F.concat_ws(",", st.text(k), "c_name", F.lit("EXTRA"))).when(
+        k % 7 == 0, st.text(k)).otherwise(F.concat_ws(",", st.text(k), "c_name"))
+    st.table(spark, sf_dir, "customer").select(line.alias("user_id,name")).write.csv(
+        path, header=True, sep="\t", quote="")
+    found = sources.read_csv(spark, path, damaged=True)
+    damaged = F.col(sources.DAMAGED)
+    return found.select(
+        "user_id", damaged.alias("damaged_record"),
+        F.when(damaged.isNull(), F.col("name")).alias("name"))
+
+
+@query("scan_json_damaged", """
+SELECT CASE WHEN s_suppkey % 6 <> 0 THEN s_suppkey::VARCHAR END AS merchant_id,
+       CASE WHEN s_suppkey % 6 <> 0 THEN s_name END AS name,
+       CASE WHEN s_suppkey % 6 = 0 THEN '{"merchant_id": ' || s_suppkey || ', "name": "' END
+           AS damaged_record
+FROM supplier
+""")
+def scan_json_damaged(spark, sf_dir):
+    """One record per line; cut records come with their text and lose nothing else."""
+    k = F.col("s_suppkey")
+    path = scratch_path(spark, "json-damaged")
+    head = F.concat(F.lit('{"merchant_id": '), st.text(k), F.lit(', "name": "'))
+    st.table(spark, sf_dir, "supplier").select(
+        F.when(k % 6 == 0, head).otherwise(F.concat(head, "s_name", F.lit('"}'))).alias("value")
+    ).write.text(path)
+    found = sources.read_json_records(spark, path, ["merchant_id", "name"], damaged=True)
+    return found.select("merchant_id", "name", F.col(sources.DAMAGED).alias("damaged_record"))
+
+
+@query("read_with_fallback", """
+SELECT s_suppkey::VARCHAR AS merchant_id, s_name AS name FROM supplier
+""")
+def read_with_fallback(spark, sf_dir):
+    """A source that is called Parquet and holds comma-separated text."""
+    path = scratch_path(spark, "misnamed")
+    st.table(spark, sf_dir, "supplier").select(
+        st.text("s_suppkey").alias("merchant_id"), F.col("s_name").alias("name")
+    ).write.csv(path, header=True)
+    return sources.read_source(
+        spark, sources.Source(path, "parquet", fallback="csv")).drop(S.POSITION)
+
+
 @query("scan_tab_packed", """
 SELECT p_partkey::VARCHAR AS campaign_id, p_name AS campaign_name,
        p_type || ' - ' || p_brand AS campaign_description,
