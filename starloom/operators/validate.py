@@ -19,16 +19,21 @@ REASONS = "reject_reasons"
 INEXACT = "_inexact"
 
 
-def with_reasons(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+def with_reasons(
+    df: DataFrame, rules: Mapping[str, Column], checked: Sequence[str] | None = None
+) -> DataFrame:
     """``rules`` maps a reason to the condition under which a row is bad.
 
     Filters on cleaned columns would be pushed below the cleaning and repeat all of it inside the
-    filter, several times over. Passing the finished row through ``inline`` stops that: every
-    value is computed once.
+    filter, several times over. Passing the ``checked`` columns (those the rules look at, all by
+    default) through ``inline`` stops that: every value is computed once. The other columns stay
+    outside, so a query that does not select them does not read them.
     """
+    inside = list(checked) if checked is not None else df.columns
     found = [F.when(bad, F.lit(reason)) for reason, bad in rules.items()]
-    row = F.struct(*[F.col(c) for c in df.columns], F.concat_ws(",", *found).alias(REASONS))
-    return df.select(F.inline(F.array(row)))
+    row = F.struct(*[F.col(c) for c in inside], F.concat_ws(",", *found).alias(REASONS))
+    outside = [c for c in df.columns if c not in inside]
+    return df.select(*outside, F.inline(F.array(row))).select(*df.columns, REASONS)
 
 
 def accepted(df: DataFrame) -> DataFrame:

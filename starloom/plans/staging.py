@@ -77,7 +77,8 @@ def stage_delays(df: DataFrame) -> DataFrame:
 def check_line_products(df: DataFrame) -> DataFrame:
     prepared = _prepared(df, "stg_line_item_data_products")
     typed = headers.conform(prepared, S.STAGING["stg_line_item_data_products"])
-    return validate.with_reasons(typed, validate.line_product_rules())
+    return validate.with_reasons(
+        typed, validate.line_product_rules(), ["order_id", "product_id"])
 
 
 def stage_line_products(slices: Sequence[DataFrame]) -> DataFrame:
@@ -191,7 +192,9 @@ def check_products(df: DataFrame, normalise: bool = True) -> DataFrame:
         })
     typed = headers.conform(
         cleaned, S.STAGING["stg_product_list"], [S.POSITION, validate.INEXACT])
-    return validate.with_reasons(typed, validate.product_rules()).drop(validate.INEXACT)
+    return validate.with_reasons(
+        typed, validate.product_rules(), ["product_id", "price", validate.INEXACT]
+    ).drop(validate.INEXACT)
 
 
 def stage_products(df: DataFrame) -> DataFrame:
