@@ -372,7 +372,8 @@ def near_components(
     found = connected_components(links(nodes, radius))
     named = nodes.join(found, F.col("fp") == F.col("node"), "left")
     linked = named.filter("component IS NOT NULL")
-    names = linked.groupBy("component").agg(F.min("least").alias("name"))
+    # written, so that the join below can split a large component
+    names = materialise(linked.groupBy("component").agg(F.min("least").alias("name")), "names")
     result = linked.join(names, "component").select("fp", "name").unionByName(
         named.filter("component IS NULL").select("fp", F.col("least").alias("name")))
     return rows.join(result, "fp").select(
@@ -444,8 +445,11 @@ def without_near_duplicates(
         similarity()("shingles", "shingles_2") >= least)
     found = materialise(connected_components(checked.select(
         F.col("n").alias("a"), F.col("n_2").alias("b"))), "groups")
-    members = rows.join(found, F.col("n") == F.col("node"))
-    stays = members.groupBy("component").agg(F.min("row").alias("stays"))
+    members = materialise(rows.join(found, F.col("n") == F.col("node")).select(
+        "row", "component"), "members")
+    # written, so that the join below can split a large group
+    stays = materialise(
+        members.groupBy("component").agg(F.min("row").alias("stays")), "stays")
     goes = members.join(stays, "component").filter("row <> stays").select(
         F.col("row.at").alias("__gone"))
     return located.join(goes, F.col(LOCATOR) == F.col("__gone"), "left_anti").drop(LOCATOR)
