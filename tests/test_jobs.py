@@ -247,6 +247,8 @@ def test_append_refuses_known_and_repeated_keys(spark, wh, put):
 
 def test_empty_and_absent_batches(wh, put):
     assert jobs.append_batch(wh, Batch("stg_order_data", None))["rows_loaded"] == 0
+    landed = Batch("stg_product_list", None, default=put("product_id,product_name,product_type,price\nd1,Dust,x,2\n"))
+    assert jobs.append_batch(wh, landed)["rows_loaded"] == 1
     empty = put("order_id,user_id,estimated_arrival,transaction_date\n")
     assert jobs.append_batch(wh, Batch("stg_order_data", empty))["rows_loaded"] == 0
     assert not wh.exists("stg_order_data")
