@@ -8,14 +8,15 @@ partition, the other bits of that partition as a signature; fingerprints that sh
 candidates, and their distance is checked.
 
 Links inside a bucket are not listed as pairs: a bucket hands on a spanning forest of its links,
-which keeps all connections with fewer edges than members.
+which keeps all connections with fewer edges than members. Where links must also pass a check of the
+texts, a second search lists every link between groups that the checked forest left apart.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -243,27 +244,50 @@ def listed(keys: np.ndarray, values: np.ndarray, radius: int) -> np.ndarray:
     return np.concatenate(edges) if edges else np.zeros((0, 2), values.dtype)
 
 
+#: Words of a sketch, and the columns of a member of the search for links that are left.
+SKETCH = 4
+MEMBER = ["fp", "n", "group", "size", *[f"s{i}" for i in range(SKETCH)]]
+
+
 class _Buckets:
     """Reads rows sorted by key and hands on edges, and the parts of buckets that may go on elsewhere."""
 
-    def __init__(self, radius: int):
-        self.radius = radius
+    def __init__(self, radius: int, most_listed: int = 0):
+        self.radius, self.most_listed = radius, most_listed
         self.edges: list[np.ndarray] = []
         self.parts: list[tuple[int, bytes]] = []
 
-    def closed(self, keys: np.ndarray, values: np.ndarray) -> None:
+    def read(self, batch: pd.DataFrame) -> np.ndarray:
+        return batch["fp"].to_numpy(np.int64).view(np.uint64)
+
+    def unpack(self, part: bytes) -> np.ndarray:
+        return np.frombuffer(part, np.uint64)
+
+    def closed(self, keys: np.ndarray, values: np.ndarray) -> Iterator[pd.DataFrame]:
         """Whole buckets."""
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         sizes = np.diff(np.append(starts, len(keys)))
-        small = np.repeat((sizes > 1) & (sizes <= LISTED_ROWS), sizes)
+        small = np.repeat((sizes > 1) & (sizes <= self.most_listed), sizes)
         self.edges.append(listed(keys[small], values[small], self.radius))
-        for s, n in zip(starts[sizes > LISTED_ROWS], sizes[sizes > LISTED_ROWS]):
+        large = sizes > max(1, self.most_listed)
+        for s, n in zip(starts[large], sizes[large]):
             self.edges.append(forest(values[s:s + n], self.radius))
+        yield from self.full()
 
-    def part(self, key: int, values: np.ndarray) -> None:
+    def part(self, key: int, values: np.ndarray) -> Iterator[pd.DataFrame]:
         """A part of a bucket that may have others."""
         self.edges.append(forest(values, self.radius))
         self.parts.append((int(key), values.tobytes()))
+        yield from self.full()
+
+    def across(self, x: np.ndarray, y: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Two parts of one bucket."""
+        self.edges.append(forest(np.concatenate([x, y]), self.radius))
+        yield from self.full()
+
+    def full(self) -> Iterator[pd.DataFrame]:
+        if sum(map(len, self.edges)) > 1 << 18:
+            yield from self.flush()
 
     def flush(self) -> Iterator[pd.DataFrame]:
         found = np.concatenate([e for e in self.edges if len(e)] or [np.zeros((0, 2), np.uint64)])
@@ -279,44 +303,93 @@ class _Buckets:
         self.edges, self.parts = [], []
 
 
-def _bucket_links(radius: int):
+class _Left(_Buckets):
+    """Lists every link between members of different groups that the sketches do not rule out.
+
+    Sets of a and b shingles reach a similarity of ``least`` only if at most
+    (a + b) (1 - least) / (1 + least) shingles are in one of them alone. Each such shingle flips one
+    bit of a sketch, so sketches that differ in more bits rule a link out for certain.
+    """
+
+    def __init__(self, radius: int, least: float):
+        super().__init__(radius)
+        self.share = (1 - least) / (1 + least)
+
+    def read(self, batch: pd.DataFrame) -> np.ndarray:
+        return np.ascontiguousarray(batch[MEMBER].to_numpy(np.int64)).view(np.uint64)
+
+    def unpack(self, part: bytes) -> np.ndarray:
+        return np.frombuffer(part, np.uint64).reshape(-1, len(MEMBER))
+
+    def pairs(self, x: np.ndarray, y: np.ndarray) -> None:
+        """Row by row of ``x`` and ``y``."""
+        at = np.flatnonzero(
+            (x[:, 2] != y[:, 2]) & (np.bitwise_count(x[:, 0] ^ y[:, 0]) <= self.radius))
+        if len(at):
+            x, y = x[at], y[at]
+            alone = np.maximum(
+                np.bitwise_count(x[:, 4:] ^ y[:, 4:]).sum(1, dtype=np.int64),
+                np.abs(x[:, 3].astype(np.int64) - y[:, 3].astype(np.int64)))
+            able = alone <= (x[:, 3] + y[:, 3]) * self.share + 1e-6
+            self.edges.append(np.column_stack([x[able, 1], y[able, 1]]))
+
+    def closed(self, keys: np.ndarray, values: np.ndarray) -> Iterator[pd.DataFrame]:
+        here = np.arange(len(keys))
+        step = 1
+        while len(here):
+            here = here[here + step < len(keys)]
+            here = here[keys[here] == keys[here + step]]
+            self.pairs(values[here], values[here + step])
+            yield from self.full()
+            step += 1
+
+    def part(self, key: int, values: np.ndarray) -> Iterator[pd.DataFrame]:
+        yield from self.closed(np.full(len(values), key), values)
+        self.parts.append((int(key), values.tobytes()))
+
+    def across(self, x: np.ndarray, y: np.ndarray) -> Iterator[pd.DataFrame]:
+        for row in x:
+            self.pairs(np.broadcast_to(row, y.shape), y)
+            yield from self.full()
+
+
+def _bucket_links(search: Callable[[], _Buckets]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = _Buckets(radius)
-        keys, values = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        out = search()
+        keys, values = np.zeros(0, np.int64), out.unpack(b"")
         first = True  # the first bucket of a task may have begun in another one
         for batch in batches:
             keys = np.concatenate([keys, batch["key"].to_numpy(np.int64)])
-            values = np.concatenate([values, batch["fp"].to_numpy(np.int64).view(np.uint64)])
+            values = np.concatenate([values, out.read(batch)])
             if first and len(keys) and keys[0] != keys[-1]:
                 n = int(np.searchsorted(keys != keys[0], True))
-                out.part(keys[0], values[:n])
+                yield from out.part(keys[0], values[:n])
                 keys, values, first = keys[n:], values[n:], False
             if len(keys):
                 n = int(np.flatnonzero(keys == keys[-1])[0])  # the last bucket may go on
                 if n:
-                    out.closed(keys[:n], values[:n])
+                    yield from out.closed(keys[:n], values[:n])
                     keys, values = keys[n:], values[n:]
                 while len(keys) >= BUCKET_ROWS:
-                    out.part(keys[0], values[:BUCKET_ROWS])
+                    yield from out.part(keys[0], values[:BUCKET_ROWS])
                     keys, values = keys[BUCKET_ROWS:], values[BUCKET_ROWS:]
                     first = True  # what follows belongs to a bucket that was cut
-            if sum(map(len, out.edges)) > 1 << 18:
-                yield from out.flush()
         if len(keys):
-            out.part(keys[0], values)
+            yield from out.part(keys[0], values)
         yield from out.flush()
 
     return run
 
 
-def _part_links(radius: int):
+def _part_links(search: Callable[[], _Buckets]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = search()
         for batch in batches:
             for a, b in zip(batch["part"], batch["part_2"]):
-                both = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])
-                found = forest(both, radius).view(np.int64)
-                if len(found):
-                    yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+                for found in out.across(out.unpack(a), out.unpack(b)):
+                    yield found[["a", "b"]]
+        for found in out.flush():
+            yield found[["a", "b"]]
 
     return run
 
@@ -324,8 +397,25 @@ def _part_links(radius: int):
 def links(nodes: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) that connect distinct fingerprints ``fp`` as all links within ``radius`` would.
 
-    Buckets are dealt out by ranges of (signature, fingerprint), so a large bucket spans several
-    tasks; its parts then meet two by two. An empty table gives no edges.
+    An empty table gives no edges.
+    """
+    most_listed = LISTED_ROWS
+    return _search(nodes, radius, lambda: _Buckets(radius, most_listed), ["fp"], "fp")
+
+
+def links_left(members: DataFrame, radius: int, least: float) -> DataFrame:
+    """Edges (a, b): every two ``n`` of different ``group`` within ``radius`` that may be alike.
+
+    ``members`` has the columns ``MEMBER``. None that reaches the similarity ``least`` is left out.
+    """
+    return _search(members, radius, lambda: _Left(radius, least), MEMBER, "n")
+
+
+def _search(
+    nodes: DataFrame, radius: int, search: Callable[[], _Buckets], columns: list[str], order: str,
+) -> DataFrame:
+    """Deals buckets out by ranges of (signature, order), so a large bucket spans several tasks; its
+    parts then meet two by two.
     """
     spark = nodes.sparkSession
     n, ones, together = bit_statistics(nodes)
@@ -333,13 +423,14 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keys = F.array(*[
         F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(signed)])
-    rows = nodes.select(F.explode(keys).alias("key"), "fp")
+    rows = nodes.select(F.explode(keys).alias("key"), *columns)
     # about one signature of a task's sort buffer for every 16 bytes
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * len(masks) // (1 << 22))
-    dealt = rows.repartitionByRange(tasks, "key", "fp").sortWithinPartitions("key", "fp")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                n * len(masks) * (1 + len(columns)) // (1 << 23))
+    dealt = rows.repartitionByRange(tasks, "key", order).sortWithinPartitions("key", order)
     with slim_batches(spark):
         found = materialise(dealt.mapInPandas(
-            _bucket_links(radius), "a long, b long, key long, part binary"), "links")
+            _bucket_links(search), "a long, b long, key long, part binary"), "links")
     parts = found.filter("part IS NOT NULL").select(
         "key", "part", F.xxhash64("part").alias("number"))
     again = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
@@ -347,7 +438,7 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
     met = parts.join(parts.select(
         "key", F.col("part").alias("part_2"), F.col("number").alias("number_2")), "key").filter(
         "number < number_2").select("part", "part_2").repartition(tasks)
-    across = met.mapInPandas(_part_links(radius), "a long, b long")
+    across = met.mapInPandas(_part_links(search), "a long, b long")
     return found.filter("a IS NOT NULL").select("a", "b").unionByName(across).distinct()
 
 
@@ -407,6 +498,61 @@ def similarity():
     return run
 
 
+def sketch():
+    """UDF: a shingle set folded to ``SKETCH`` words; every shingle flips one bit."""
+    @F.pandas_udf("array<long>")
+    def run(sets: pd.Series) -> pd.Series:
+        bits = 64 * SKETCH
+        return pd.Series([
+            np.packbits(np.bincount(
+                (np.frombuffer(s, np.uint64) % bits).astype(np.int64), minlength=bits) % 2 > 0)
+            .view(np.int64) for s in sets], dtype=object)
+
+    return run
+
+
+def _alike(proposed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The proposed links (n, n_2) whose shingle sets reach the similarity ``least``, as (a, b)."""
+    return proposed.join(sets, "n").join(
+        sets.select(F.col("n").alias("n_2"), F.col("shingles").alias("shingles_2")), "n_2").filter(
+        similarity()("shingles", "shingles_2") >= least).select(
+        F.col("n").alias("a"), F.col("n_2").alias("b"))
+
+
+def _groups(
+    proposed: DataFrame, fps: DataFrame, sets: DataFrame, radius: int, least: float,
+) -> DataFrame:
+    """(node, component) of every ``n`` in ``proposed``, over all links that reach ``least``.
+
+    ``proposed`` connects the nodes as all links within ``radius`` would. A group of the links in it
+    that pass is complete if no other link leads out of it. What lies in the other groups is searched
+    again, for every link from group to group.
+    """
+    found = connected_components(_alike(proposed, sets, least))
+    named = materialise(sets.select("n").join(found, F.col("n") == F.col("node"), "left").select(
+        "n", F.coalesce("component", "n").alias("group")), "groups")
+    crossing = proposed.join(named, "n").join(named.select(
+        F.col("n").alias("n_2"), F.col("group").alias("group_2")), "n_2").filter("group <> group_2")
+    open_ = materialise(crossing.select(F.explode(F.array("group", "group_2")).alias("group"))
+                        .distinct(), "open-groups")
+    members = named.join(open_, "group").join(fps, "n").join(sets, "n").select(
+        "n", "group", "fp", (F.length("shingles") / 8).cast("long").alias("size"),
+        sketch()("shingles").alias("s"))
+    members = materialise(members.select(
+        "n", "group", "fp", "size", *[F.col("s")[i].alias(f"s{i}") for i in range(SKETCH)]),
+        "left-members")
+    left = materialise(links_left(members, radius, least).select(
+        F.col("a").alias("n"), F.col("b").alias("n_2")), "left")
+    group_of = named.select(F.col("n").alias("__n"), "group")
+    passed = _alike(left, sets, least)
+    for end in ("a", "b"):
+        passed = passed.join(group_of, F.col(end) == F.col("__n")).withColumn(
+            end, F.col("group")).drop("__n", "group")
+    joined = connected_components(passed)
+    return named.join(joined, F.col("group") == F.col("node"), "left").select(
+        F.col("n").alias("node"), F.coalesce("component", "group").alias("component"))
+
+
 def without_near_duplicates(
     docs: DataFrame, radius: int, words: int, least: float, check_words: int,
     text: str = "text", id_col: str = "doc_id",
@@ -440,11 +586,8 @@ def without_near_duplicates(
     sets = materialise(
         located.select(LOCATOR, F.col(text).alias("text")).join(places.hint("shuffle_hash"), LOCATOR)
         .select("n", shingle_set(check_words)("text").alias("shingles")), "shingle-sets")
-    checked = proposed.join(sets, "n").join(
-        sets.select(F.col("n").alias("n_2"), F.col("shingles").alias("shingles_2")), "n_2").filter(
-        similarity()("shingles", "shingles_2") >= least)
-    found = materialise(connected_components(checked.select(
-        F.col("n").alias("a"), F.col("n_2").alias("b"))), "groups")
+    found = materialise(_groups(proposed, nodes.select(F.col("head").alias("n"), "fp"), sets,
+                                radius, least), "found")
     members = materialise(rows.join(found, F.col("n") == F.col("node")).select(
         "row", "component"), "members")
     # written, so that the join below can split a large group

@@ -157,6 +157,51 @@ def test_one_row_of_each_group_stays(spark, rows):
     assert S.without_near_duplicates(docs.limit(0), 7, 3, 0.8, 5).count() == 0
 
 
+def brute_force_stay(texts, radius, words, least, check_words):
+    """Ids (places in ``texts``) that are the least of their group over all links."""
+    fps = S.fingerprints([t or "" for t in texts], words)
+    sets = [set(S.shingle_hashes(t or "", check_words).tolist()) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= radius).tolist():
+            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    return {i for i in range(len(texts)) if root(i) == i}
+
+
+def stay(spark, texts, *rule):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"] for r in S.without_near_duplicates(docs.repartition(5), *rule).collect()}
+
+
+@pytest.mark.parametrize("most", [16, 4096])
+def test_copies_that_only_their_centre_links(spark, words, most, monkeypatch):
+    """Copies reach the similarity with the base text but not with each other."""
+    monkeypatch.setattr(S, "BUCKET_ROWS", most)
+    rng = random.Random(21)
+    texts = []
+    for _ in range(3):
+        base = rng.choices(words, k=400)
+        group = [base]
+        for _ in range(90):
+            copy = list(base)
+            for at in rng.sample(range(400), 8):
+                copy[at] = rng.choice(words)
+            group.append(copy)
+        texts += [" ".join(t) for t in group]
+    rng.shuffle(texts)
+    want = brute_force_stay(texts, 7, 3, 0.8, 5)
+    assert 3 < len(want) < 200
+    assert stay(spark, texts, 7, 3, 0.8, 5) == want
+
+
 def test_connected_components(spark):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, 7), (3, 9), (9, 3), (3, 9)]
