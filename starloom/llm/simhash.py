@@ -474,6 +474,17 @@ def near_components(
 # -- near-duplicates with a check of the texts ----------------------------------------------
 
 
+def with_same(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
+    """``docs`` with the column ``same`` (binary): XXH128 of the sorted distinct shingle hashes."""
+    @F.pandas_udf("binary")
+    def same(texts: pd.Series) -> pd.Series:
+        return pd.Series([
+            xxhash.xxh128_digest(np.unique(shingle_hashes(t, words)).tobytes())
+            for t in texts.fillna("")], dtype=object)
+
+    return docs.withColumn("same", same(text))
+
+
 def shingle_set(words: int):
     """UDF: distinct shingle hashes of a text, sorted, as bytes."""
     @F.pandas_udf("binary")
@@ -567,17 +578,20 @@ def without_near_duplicates(
     """
     spark = docs.sparkSession
     located = with_locator(docs)
-    rows = materialise(
-        with_fingerprint(located.select(F.col(id_col).alias("id"), F.col(text).alias("text"), LOCATOR),
-                         words)
-        .select(id_order("id").alias("row"), "fp", F.monotonically_increasing_id().alias("n")),
+    rows = materialise(with_same(with_fingerprint(
+        located.select(F.col(id_col).alias("id"), F.col(text).alias("text"), LOCATOR), words),
+        check_words).select(
+        id_order("id").alias("row"), "fp", "same", F.monotonically_increasing_id().alias("n")),
         "fingerprints")
-    nodes = materialise(rows.groupBy("fp").agg(F.min("n").alias("head")), "nodes")
-    a, b = nodes.select(F.col("fp").alias("a"), F.col("head").alias("n")), nodes.select(
+    # rows of one fingerprint and one shingle set are one node, named by one of them
+    nodes = materialise(rows.groupBy("fp", "same").agg(
+        F.min("n").alias("node"), F.count(F.lit(1)).alias("copies")), "nodes")
+    heads = materialise(nodes.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    a, b = heads.select(F.col("fp").alias("a"), F.col("head").alias("n")), heads.select(
         F.col("fp").alias("b"), F.col("head").alias("n_2"))
-    proposed = links(nodes, radius).join(a, "a").join(b, "b").select("n", "n_2")
-    alike = rows.join(nodes, "fp").filter("n <> head").select(
-        F.col("head").alias("n"), F.col("n").alias("n_2"))
+    proposed = links(heads, radius).join(a, "a").join(b, "b").select("n", "n_2")
+    alike = nodes.join(heads, "fp").filter("node <> head").select(
+        F.col("head").alias("n"), F.col("node").alias("n_2"))
     proposed = materialise(proposed.unionByName(alike), "proposed")
 
     concerned = proposed.select("n").unionByName(
@@ -586,10 +600,11 @@ def without_near_duplicates(
     sets = materialise(
         located.select(LOCATOR, F.col(text).alias("text")).join(places.hint("shuffle_hash"), LOCATOR)
         .select("n", shingle_set(check_words)("text").alias("shingles")), "shingle-sets")
-    found = materialise(_groups(proposed, nodes.select(F.col("head").alias("n"), "fp"), sets,
-                                radius, least), "found")
-    members = materialise(rows.join(found, F.col("n") == F.col("node")).select(
-        "row", "component"), "members")
+    found = _groups(proposed, nodes.select(F.col("node").alias("n"), "fp"), sets, radius, least)
+    grouped = materialise(nodes.join(found, "node", "left").filter(
+        "component IS NOT NULL OR copies > 1").select(
+        "fp", "same", F.coalesce("component", "node").alias("component")), "grouped")
+    members = materialise(rows.join(grouped, ["fp", "same"]).select("row", "component"), "members")
     # written, so that the join below can split a large group
     stays = materialise(
         members.groupBy("component").agg(F.min("row").alias("stays")), "stays")

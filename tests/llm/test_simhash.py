@@ -202,6 +202,25 @@ def test_copies_that_only_their_centre_links(spark, words, most, monkeypatch):
     assert stay(spark, texts, 7, 3, 0.8, 5) == want
 
 
+def test_rows_of_equal_fingerprint_link_without_their_head(spark, words):
+    """One passage repeated over and over sets the fingerprint; the tails set the similarity."""
+    rng = random.Random(8)
+    passage = rng.choices(words, k=12)
+    texts = []
+    for _ in range(6):
+        tail = rng.choices(words, k=60)
+        for _ in range(5):
+            copy = list(tail)
+            copy[rng.randrange(60)] = rng.choice(words)
+            texts += [" ".join(passage * 60 + copy)] * 2
+            texts.append(" ".join(passage * 61 + copy))  # the same shingles, repeated once more
+    rng.shuffle(texts)
+    assert len(set(S.fingerprints(texts, 3).tolist())) < 40
+    want = brute_force_stay(texts, 7, 3, 0.8, 5)
+    assert 1 < len(want) < 30
+    assert stay(spark, texts, 7, 3, 0.8, 5) == want
+
+
 def test_connected_components(spark):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, 7), (3, 9), (9, 3), (3, 9)]
