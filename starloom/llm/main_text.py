@@ -66,9 +66,9 @@ BESIDE, SIBLING = 1.2, 0.6
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+""")
+#: One attribute after the other, each with its whole name and value.
 _ATTRIBUTE = re.compile(
-    r"""(class|id|role|hidden|aria-hidden|style)(?=[\s=/]|$)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|(\S+)))?""",
-    re.I)
+    r"""([^\s/=][^\s/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"?|'([^']*+)'?|([^\s"']\S*+)))?""")
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SENTENCE_END = re.compile(r"[.!?…。！？]")
 

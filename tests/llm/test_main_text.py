@@ -39,6 +39,22 @@ def test_small_pages(page, text):
     assert H.main_text(page) == text
 
 
+@pytest.mark.parametrize("attributes", [
+    'data-title="The hidden truth"', "title='hidden gems'", 'data-hidden="false"', "x-hidden",
+    'data-class="the sidebar"', 'data-id="comments"', 'title="class=sidebar"', "title=a=hidden",
+    'data-style="display:none"', 'alt = "x" title="a role=navigation b"', "title='a>b hidden'"])
+def test_names_of_attributes_count_as_a_whole(attributes):
+    page = f"<main><p {attributes}>A whole sentence stands here.</p></main>"
+    assert H.main_text(page) == "A whole sentence stands here."
+
+
+@pytest.mark.parametrize("attributes", [
+    "hidden", "HIDDEN=''", "hidden=hidden", "a=b hidden", 'a="b"hidden', "a/hidden", "/hidden",
+    'aria-hidden="true"', "title='x' class = 'sidebar'", "id=comments", "style='display : none'"])
+def test_attributes_that_set_aside(attributes):
+    assert H.main_text(f"<main><p {attributes}>Not this sentence.</p></main>") == ""
+
+
 def cost(labels, scores, edges):
     return sum(abs(s) for s, x in zip(scores, labels) if x != (s > 0)) + sum(
         w for i, j, w in edges if labels[i] != labels[j])
