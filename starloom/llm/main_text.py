@@ -28,10 +28,11 @@ BLOCK = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav "
     "ol p pre search section summary table tbody tfoot thead tr ul".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Elements whose content is no text, up to their end tag.
+#: Elements whose content is neither text nor tags, up to their end tag or the end of the page.
 RAW = frozenset(
-    "script style noscript template iframe svg math canvas object audio video textarea select "
-    "title noframes noembed xmp".split())
+    "script style noscript iframe textarea title noframes noembed xmp".split())
+#: Elements with tags whose text is not shown; they end with their parent at the latest.
+OPAQUE = frozenset("template svg math canvas object audio video select".split())
 #: Elements that hold no article text.
 ASIDE = frozenset("nav footer aside form dialog menu button label search fieldset legend".split())
 MAIN = frozenset("article main".split())
@@ -42,7 +43,7 @@ ENDS = {
     "thead": ("tr", "tbody", "thead", "tfoot"), "tfoot": ("tr", "tbody", "thead", "tfoot"),
 }
 #: What ENDS may not reach across.
-SCOPE = frozenset("ul ol dl table menu dir body article section div".split())
+SCOPE = OPAQUE | frozenset("ul ol dl table menu dir body article section div".split())
 BOILERPLATE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adslot adbox banner sponsor sponsored "
     "promo promotion sidebar rail widget cookie cookies consent gdpr notice notification alert "
@@ -69,6 +70,8 @@ _REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+""")
 #: One attribute after the other, each with its whole name and value.
 _ATTRIBUTE = re.compile(
     r"""([^\s/=][^\s/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"?|'([^']*+)'?|([^\s"']\S*+)))?""")
+#: A slash that ends a bare value does not close the tag.
+_SLASH_IN_VALUE = re.compile(r"""=\s*+[^\s"'=]+/$""")
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SENTENCE_END = re.compile(r"[.!?…。！？]")
 
@@ -132,6 +135,7 @@ class _Reader:
     def __init__(self):
         self.stack: list[_Open] = [_Open("", 0, None)]
         self.levels: list[int] = []  # places of block elements in the stack
+        self.opaque: list[int] = []  # places of opaque elements in the stack
         self.count: dict[str, int] = {}
         self.made = 0
         self.blocks: list[Block] = []
@@ -163,8 +167,10 @@ class _Reader:
     def push(self, name: str, attributes: str) -> None:
         block = name in BLOCK
         if block:
-            self.flush()
-            if self.levels and self.stack[self.levels[-1]].name == "p":
+            if not self.opaque:
+                self.flush()
+            if self.levels and self.stack[self.levels[-1]].name == "p" and (
+                    not self.opaque or self.opaque[-1] < self.levels[-1]):
                 self.pop_to(self.levels[-1])
         if name in ENDS:
             self.end_open(ENDS[name])
@@ -181,6 +187,9 @@ class _Reader:
             new.aside = 2
         elif name == "a":
             new.link = True
+        elif name in OPAQUE:
+            new.hidden = True
+            self.opaque.append(len(self.stack))
         if attributes:
             _attributes(new, attributes)
         if block:
@@ -194,22 +203,28 @@ class _Reader:
             return
         for at in range(len(self.stack) - 1, max(0, len(self.stack) - 64), -1):
             if self.stack[at].name in names:
-                self.flush()
+                if not self.unseen(at):
+                    self.flush()
                 self.pop_to(at)
                 return
             if self.stack[at].name in SCOPE:
                 return
 
+    def unseen(self, at: int) -> bool:
+        """Whether the element at this place of the stack is opaque or lies in one that is."""
+        return bool(self.opaque) and at >= self.opaque[0]
+
     def end(self, name: str) -> None:
         if name == "p" and not self.count.get("p"):
-            self.flush()  # an end tag alone is an empty paragraph
+            if not self.opaque:
+                self.flush()  # an end tag alone is an empty paragraph
             return
         if not self.count.get(name):
             return
         at = len(self.stack) - 1
         while self.stack[at].name != name:
             at -= 1
-        if name in BLOCK or self.levels and self.levels[-1] >= at:
+        if not self.unseen(at) and (name in BLOCK or self.levels and self.levels[-1] >= at):
             self.flush()
         self.pop_to(at)
 
@@ -219,6 +234,8 @@ class _Reader:
         del self.stack[at:]
         while self.levels and self.levels[-1] >= at:
             self.levels.pop()
+        while self.opaque and self.opaque[-1] >= at:
+            self.opaque.pop()
         self.lowest = min(self.lowest, len(self.levels))
 
     def read(self, page: str) -> list[Block]:
@@ -254,9 +271,14 @@ class _Reader:
                 if close < 0:
                     break
                 at = close + 1
-                name, attributes = m[0].lower(), page[m.end():close].rstrip("/ ")
+                name, inside = m[0].lower(), page[m.end():close]
+                attributes = inside.rstrip("/ ")
+                if inside.endswith("/") and (
+                        name in ("svg", "math") or self.count.get("svg") or self.count.get("math")
+                ) and not _SLASH_IN_VALUE.search(inside):
+                    continue  # only in SVG and MathML a slash closes the element
                 if name in VOID:
-                    if name in BLOCK:
+                    if name in BLOCK and not self.opaque:
                         self.flush()
                     elif name == "br":
                         self.parts.append(" ")

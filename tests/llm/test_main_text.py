@@ -55,6 +55,23 @@ def test_attributes_that_set_aside(attributes):
     assert H.main_text(f"<main><p {attributes}>Not this sentence.</p></main>") == ""
 
 
+@pytest.mark.parametrize("part", [
+    '<svg class="icon"/>', "<math/>", "<svg><path d='x'/><title/></svg>", "<div><object data=x></div>",
+    "<div><canvas></div>", "<div><video src=x><p>Not shown.</div>", "<div><audio></div>",
+    "<div><select><option>Not shown.</div>", "<div><template><p>Not shown.</p></div>"])
+def test_elements_without_end_tag_end_with_their_parent(part):
+    page = f"<article><p>One sentence is here.</p>{part}<p>Another one is here.</p></article>"
+    assert H.main_text(page) == "One sentence is here.\n\nAnother one is here."
+
+
+@pytest.mark.parametrize("part", [
+    "<video><p>Not shown.</p></video>", "<svg><svg><text>No</text></svg><text>No</text></svg>",
+    "<object><table><tr><td>No<tr><td>No</table><hr></object>", "<svg><title>No</title><g/></svg>"])
+def test_hidden_content_does_not_cut_the_text_around(part):
+    assert H.main_text(f"<article><p>One part {part}of a sentence.</p></article>") == (
+        "One part of a sentence.")
+
+
 def cost(labels, scores, edges):
     return sum(abs(s) for s, x in zip(scores, labels) if x != (s > 0)) + sum(
         w for i, j, w in edges if labels[i] != labels[j])
