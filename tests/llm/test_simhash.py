@@ -202,6 +202,24 @@ def test_copies_that_only_their_centre_links(spark, words, most, monkeypatch):
     assert stay(spark, texts, 7, 3, 0.8, 5) == want
 
 
+@pytest.mark.parametrize("bucket,listed", [(16, 2), (4096, 32)])
+def test_the_least_of_each_group_stays_and_no_other(spark, rows, words, bucket, listed, monkeypatch):
+    monkeypatch.setattr(S, "BUCKET_ROWS", bucket)
+    monkeypatch.setattr(S, "LISTED_ROWS", listed)
+    rng = random.Random(30)
+    base = rng.choices(words, k=400)
+    group = [base]
+    for _ in range(60):
+        group.append(list(base))
+        for at in rng.sample(range(400), 8):
+            group[-1][at] = rng.choice(words)
+    group = [" ".join(t) for t in group]
+    fps = S.fingerprints(group, 3)
+    assert fps.min() < fps[0]  # the centre does not have the smallest fingerprint
+    texts = [t for _, t, *_ in rows] + group[1:] + group[:1]
+    assert stay(spark, texts, 7, 3, 0.8, 5) == brute_force_stay(texts, 7, 3, 0.8, 5)
+
+
 def test_rows_of_equal_fingerprint_link_without_their_head(spark, words):
     """One passage repeated over and over sets the fingerprint; the tails set the similarity."""
     rng = random.Random(8)
