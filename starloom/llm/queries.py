@@ -14,6 +14,9 @@ from starloom.llm import (
     language_id,
     main_text,
     mixing,
+    packing,
+    phrases,
+    prefix_trie,
     sentencepiece_bpe,
     sharding,
     simhash,
@@ -184,3 +187,107 @@ ORACLES["op10_exact_dedup"] = f"""
            doc_id = min(doc_id) OVER (PARTITION BY t) AS kept,
            sha256(t) AS text_sha256
     FROM clean"""
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie over all rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = """
+    WITH numbered AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS said,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                   coalesce(role, ''), sha256(concat(strlen(coalesce(role, '')), ':', role, text))
+               ) AS i
+        FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (
+        SELECT conv_id, list({'role': role, 'said': said} ORDER BY i) AS turns,
+               xor(4294967295, list_reduce(list_concat([4294967295],
+                   list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                   lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)),
+                       lambda x, step: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384)
+                                         ELSE x >> 1 END))) % 9 AS h
+        FROM numbered GROUP BY conv_id),
+    rebuilt AS (
+        SELECT c.conv_id, list_concat(coalesce(list_slice(b.turns, 1, c.h), []),
+                                      list_slice(c.turns, c.h + 1, len(c.turns))) AS turns
+        FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+    prefixes AS (
+        SELECT conv_id, len(turns) AS size, d, list_slice(turns, 1, d) AS head
+        FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+    nodes AS (
+        SELECT min(conv_id) AS conv_id, d, head, count(*) AS n_convs, sha256(coalesce(string_agg(
+                   CASE WHEN size = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), ''))
+                   AS ends_sha256
+        FROM prefixes GROUP BY d, head),
+    family AS (
+        SELECT n.*, p.conv_id AS parent_conv_id
+        FROM nodes n LEFT JOIN nodes p ON p.d = n.d - 1 AND p.head = list_slice(n.head, 1, n.d - 1)),
+    counted AS (
+        SELECT f.*, (SELECT count(*) FROM nodes k WHERE k.d = f.d + 1
+                     AND list_slice(k.head, 1, f.d) = f.head) AS n_children
+        FROM family f)
+    SELECT t.conv_id, t.d AS depth, any_value(t.parent_conv_id) AS parent_conv_id,
+           any_value(t.n_convs) AS n_convs, any_value(t.n_children) AS n_children,
+           count(*) FILTER (b.n_children = 0) AS n_leaves,
+           sum((b.n_convs - 1) * CASE WHEN b.d = 0 THEN 0
+               ELSE strlen(b.head[b.d].said) END)::BIGINT AS saved_tokens,
+           any_value(t.ends_sha256) AS ends_sha256
+    FROM counted t JOIN counted b ON b.d >= t.d AND list_slice(b.head, 1, t.d) = t.head
+    GROUP BY t.conv_id, t.d, t.head"""
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 phrases of each language that stand out most, over all whole documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), threshold=100, most=2000)
+
+
+ORACLES["op12_phrases"] = r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(
+                   coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+    runs AS (
+        SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+              FROM split, range(1, 6) t(m) WHERE len(w) >= m)),
+    f AS (SELECT lang, m, phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 100),
+    inside AS (
+        SELECT lang, unnest([regexp_replace(phrase, ' [^ ]*$', ''),
+                             regexp_replace(phrase, '^[^ ]* ', '')]) AS phrase, f AS longer
+        FROM f WHERE m > 2),
+    kept AS (
+        SELECT * FROM f WHERE m > 1 AND NOT EXISTS (
+            SELECT 1 FROM inside i WHERE i.lang = f.lang AND i.phrase = f.phrase
+                                         AND 100 * i.longer >= 100 * f.f)),
+    cuts AS (
+        SELECT *, array_to_string(list_slice(string_split(phrase, ' '), 1, k), ' ') AS a_part,
+               array_to_string(list_slice(string_split(phrase, ' '), k + 1, m), ' ') AS b_part
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)),
+    scored AS (
+        SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, n,
+               ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = a_part
+             JOIN f y ON y.lang = c.lang AND y.phrase = b_part JOIN sizes s ON s.lang = c.lang),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (
+        PARTITION BY lang, phrase ORDER BY score, k) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+           phrase, a, l, r, n, score
+    FROM best QUALIFY rank <= 2000"""
+
+
+def word_tokenizer() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer(), ids=False).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
