@@ -38,6 +38,9 @@ PARTITION_MASS, SPARE = 1 << 27, 2
 #: Hashes that a task gathers before it hands them on as summaries.
 GATHERED = 1 << 22
 
+#: Keys in one row of a summary, since rows travel to Python many at once.
+IN_ROW = 4096
+
 #: Bits of the map of survivors. With more survivors than bits, more runs are counted in the second
 #: pass than needed; the result is the same.
 MAP_BITS = 26
@@ -103,16 +106,20 @@ def _tables(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[str], Runs]]
 
 
 def _summaries(batches: Iterator[pd.DataFrame], partitions: int) -> Iterator[pd.DataFrame]:
-    """Hashes of all runs with their numbers, as one row for each hash partition and flush."""
+    """Hashes of all runs with their numbers, as rows for each hash partition and flush."""
     held: list[np.ndarray] = []
 
     def flush() -> pd.DataFrame:
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        every = np.concatenate(held)
         held.clear()
+        every.sort()
+        heads = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+        keys, counts = every[heads], np.diff(np.r_[heads, len(every)]).astype(np.int32)
         part = (keys >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)
         cuts = np.searchsorted(part, np.arange(partitions + 1, dtype=np.uint64))
-        rows = [(p, keys[a:b].tobytes(), counts[a:b].astype(np.int64).tobytes())
-                for p, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())) if b > a]
+        rows = [(p, keys[i:min(i + IN_ROW, b)].tobytes(), counts[i:min(i + IN_ROW, b)].tobytes())
+                for p, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist()))
+                for i in range(a, b, IN_ROW)]
         return pd.DataFrame(rows, columns=["p", "keys", "counts"])
 
     for _, runs in _tables(batches):
@@ -180,7 +187,7 @@ def _merged(batches: Iterator[pd.DataFrame], threshold: int, capacity: int
             if p != now:
                 yield pd.DataFrame({"key": summary.survivors().view(np.int64)})
                 now, summary = p, Summary(threshold, capacity)
-            summary.add(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64))
+            summary.add(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int32).astype(np.int64))
     yield pd.DataFrame({"key": summary.survivors().view(np.int64)})
 
 
