@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from starloom import schemas as S
 from starloom.operators import dedup, validate
 from starloom.plans import dims, facts, staging
-from starloom.plans.load import Warehouse
+from starloom.plans.load import Load, Warehouse
 from starloom.session import side_by_side
 from starloom.sources import Source, read_source, union_slices
 
@@ -79,14 +79,14 @@ class Calendar:
     end: str = S.CALENDAR_END
 
 
-def _staged(wh: Warehouse, table: str, snapshot: Mapping[str, list[str]]) -> DataFrame:
+def staged(wh: Warehouse, table: str, snapshot: Mapping[str, list[Load]]) -> DataFrame:
     fields = list(S.STAGING[table].fields)
     if table in S.ORDERED_TABLES:
         fields.append(T.StructField(S.POSITION, S.POSITION_TYPE))
     return wh.read(table, T.StructType(fields), snapshot)
 
 
-def _refuse_repeated_orders(orders: DataFrame, side: DataFrame, table: str) -> None:
+def refuse_repeated_orders(orders: DataFrame, side: DataFrame, table: str) -> None:
     """Several side rows per order would break the order key of the fact.
 
     Seen here from counts per order, before a join could multiply the rows of a hot order.
@@ -99,7 +99,7 @@ def _refuse_repeated_orders(orders: DataFrame, side: DataFrame, table: str) -> N
 
 def rebuild(
     wh: Warehouse, calendar: Calendar | None = None, on_orphans: str = "fail",
-    keep_keys: bool = False,
+    keep_keys: bool = False, by_day: bool = False,
 ) -> dict[str, int]:
     """Dimensions, then facts, from published staging; all nine tables become visible together.
 
@@ -107,7 +107,8 @@ def rebuild(
     published when a constraint fails. Orders on a day outside the calendar end the job, or, with
     ``on_orphans="quarantine"``, go to the table ``orphan_orders`` and into no fact. With
     ``keep_keys`` users, merchants and staff that are already published keep their keys and new
-    ones are numbered after them.
+    ones are numbered after them. With ``by_day`` the facts are laid out by day, so that a later batch
+    (``plans.touched``) reads only the days it touches.
     """
     if on_orphans not in ("fail", "quarantine"):
         raise ValueError(f"on_orphans is fail or quarantine, not {on_orphans!r}")
@@ -117,6 +118,9 @@ def rebuild(
     rows: dict[str, int] = {}
 
     def put(table: str, df: DataFrame) -> DataFrame:
+        if by_day and table.startswith("fact_"):
+            order = [c for c in ("date_key", "order_id") if c in df.columns]
+            df = df.repartitionByRange(*order).sortWithinPartitions(*order)
         written[table], rows[table] = wh.write(table, df)
         out = spark.read.schema(S.STAR[table]).parquet(written[table])
         # generated keys are dense by construction, only business keys can be wrong
@@ -128,7 +132,7 @@ def rebuild(
         return out
 
     now = wh.snapshot()
-    stg = {t: _staged(wh, t, now) for t in S.STAGING if t != "stg_user_credit_card"}
+    stg = {t: staged(wh, t, now) for t in S.STAGING if t != "stg_user_credit_card"}
 
     def known(table: str) -> DataFrame | None:
         return wh.read(table, S.STAR[table], now) if keep_keys and table in now else None
@@ -146,7 +150,7 @@ def rebuild(
 
     for table in ("stg_order_with_merchant_data", "stg_transactional_campaign_data",
                   "stg_order_delays"):
-        _refuse_repeated_orders(stg["stg_order_data"], stg[table], table)
+        refuse_repeated_orders(stg["stg_order_data"], stg[table], table)
     head = facts.order_headers(
         stg["stg_order_data"], stg["stg_order_with_merchant_data"],
         stg["stg_transactional_campaign_data"], stg["stg_order_delays"],
@@ -178,12 +182,13 @@ def rebuild(
 
 def refresh_all(
     spark: SparkSession, root: str, sources: Mapping[str, Sequence[Source]],
-    calendar: Calendar | None = None,
+    calendar: Calendar | None = None, on_orphans: str = "fail", keep_keys: bool = False,
+    by_day: bool = False,
 ) -> dict:
-    """Full refresh: all staging tables from their files, then the star schema."""
+    """Full refresh: all staging tables from their files, then the star schema (see ``rebuild``)."""
     wh = Warehouse(spark, root)
-    staged = load_staging(wh, sources)
-    return {"staging": staged, "star": rebuild(wh, calendar)}
+    loaded = load_staging(wh, sources)
+    return {"staging": loaded, "star": rebuild(wh, calendar, on_orphans, keep_keys, by_day)}
 
 
 @dataclass
@@ -246,10 +251,11 @@ def append_batch(wh: Warehouse, batch: Batch) -> dict:
 
 def run_scenario(
     wh: Warehouse, batches: Sequence[Batch], calendar: Calendar | None = None,
+    on_orphans: str = "fail", keep_keys: bool = False, by_day: bool = False,
 ) -> dict:
-    """Append batches in order, then rebuild the star schema."""
+    """Append batches in order, then rebuild the star schema (see ``rebuild``)."""
     loads = [append_batch(wh, b) for b in batches]
-    return {"loads": loads, "star": rebuild(wh, calendar)}
+    return {"loads": loads, "star": rebuild(wh, calendar, on_orphans, keep_keys, by_day)}
 
 
 def orders_on_day(fact_orders: DataFrame, day: int) -> DataFrame:

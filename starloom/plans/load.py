@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Mapping
-from functools import partial
+from collections.abc import Mapping, Sequence
+from functools import partial, reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +27,31 @@ _LOG = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("path", T.StringType()),
     T.StructField("mode", T.StringType()),
+    T.StructField("days", T.ArrayType(T.IntegerType())),
+    T.StructField("top", T.LongType()),
 ])
 
+#: Stands for a missing day in the days of a load.
+NO_DAY = 0
+
+
+class Load(NamedTuple):
+    """A folder of a table. ``days``: the days of which it holds all rows, in place of earlier
+    folders; ``top``: the largest generated key, where the table has one."""
+
+    path: str
+    days: tuple[int, ...] | None = None
+    top: int | None = None
+
+
+def on_days(days: Sequence[int], column: str = "date_key") -> Column:
+    """Rows of these days; ``NO_DAY`` stands for those without one.
+
+    A plain list, so that Parquet row groups of other days are skipped.
+    """
+    hit = F.col(column).isin([d for d in days if d != NO_DAY])
+    return F.coalesce(hit, F.lit(NO_DAY in days))
+
 
 class Warehouse:
     """Tables below one root folder. One writer at a time, any number of readers."""
@@ -36,6 +60,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self._log_path = os.path.join(self.root, "_publish_log")
+        self._tops: dict[str, int | None] = {}
 
     # -- reading -----------------------------------------------------------------------
     def _log(self) -> DataFrame:
@@ -45,16 +70,17 @@ class Warehouse:
             return self.spark.createDataFrame([], _LOG)
         return self.spark.read.schema(_LOG).json(self._log_path)
 
-    def snapshot(self) -> dict[str, list[str]]:
-        """Folders of every table: its last full load and the appends since then.
+    def snapshot(self) -> dict[str, list[Load]]:
+        """Folders of every table: its last full load, and appends and replaced days since then.
 
         The log has one row per table and load, so what comes back counts loads, not data.
         """
-        tables: dict[str, list[str]] = {}
+        tables: dict[str, list[Load]] = {}
         for r in self._log().orderBy("seq", "table_name").collect():
             if r["mode"] == "replace":
                 tables[r["table_name"]] = []
-            tables.setdefault(r["table_name"], []).append(r["path"])
+            days = None if r["mode"] != "days" else tuple(r["days"])
+            tables.setdefault(r["table_name"], []).append(Load(r["path"], days, r["top"]))
         return tables
 
     def exists(self, table: str) -> bool:
@@ -62,17 +88,24 @@ class Warehouse:
 
     def read(
         self, table: str, schema: T.StructType | None = None,
-        snapshot: Mapping[str, list[str]] | None = None,
+        snapshot: Mapping[str, list[Load]] | None = None,
     ) -> DataFrame:
         """The published table; without one, an empty frame of ``schema`` if that is given.
 
         A given ``schema`` is also what is read. Tables read with the same ``snapshot`` belong to
         the same published state.
         """
-        paths = (self.snapshot() if snapshot is None else snapshot).get(table)
-        if paths:
+        loads = (self.snapshot() if snapshot is None else snapshot).get(table)
+        if loads:
             reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-            return reader.parquet(*paths)
+            if all(x.days is None for x in loads):
+                return reader.parquet(*[x.path for x in loads])
+            parts, gone = [], set()
+            for load in reversed(loads):
+                part = reader.parquet(load.path)
+                parts.append(part if not gone else part.filter(~on_days(sorted(gone))))
+                gone.update(load.days or ())
+            return reduce(DataFrame.unionByName, parts)
         if schema is None:
             raise ValueError(f"table {table} was never published")
         return self.spark.createDataFrame([], schema)
@@ -89,15 +122,34 @@ class Warehouse:
         """Write the files of a table without publishing them: (folder, rows written)."""
         path = os.path.join(self.root, table, uuid.uuid4().hex)
         seen = Observation(f"load-{table}-{uuid.uuid4().hex}")
-        df.observe(seen, F.count(F.lit(1)).alias("rows_loaded")).write.parquet(path)
+        made = [c for c in df.columns[:1] if c in S.GENERATED_KEYS]
+        top = F.col(made[0]) if made else F.lit(None).cast("long")
+        writer = df.observe(
+            seen, F.count(F.lit(1)).alias("rows_loaded"), F.max(top).alias("top")).write
+        if "order_id" in df.columns:  # a look-up of few orders then skips nearly all row groups
+            writer = writer.option("parquet.bloom.filter.enabled#order_id", "true").option(
+                "parquet.bloom.filter.adaptive.enabled", "true")
+        writer.parquet(path)
+        self._tops[path] = seen.get["top"]
         return path, int(seen.get["rows_loaded"])
 
-    def publish(self, written: Mapping[str, str], mode: str = "replace") -> None:
-        """Make written folders visible together."""
+    def publish(
+        self, written: Mapping[str, str], mode: str = "replace",
+        modes: Mapping[str, str] | None = None, days: Sequence[int] = (),
+    ) -> None:
+        """Make written folders visible together.
+
+        ``modes`` has the tables for which ``mode`` does not hold. A folder of mode "days" holds all
+        rows of ``days`` and takes the place of what was there.
+        """
+        modes = modes or {}
+        listed = F.array(*map(F.lit, days)).cast("array<int>")
         top = self._log().agg(F.max("seq").alias("top")).first()["top"]
         seq = 1 if top is None else int(top) + 1
         records = F.array(*[
-            F.struct(F.lit(seq), F.lit(table), F.lit(path), F.lit(mode))
+            F.struct(F.lit(seq), F.lit(table), F.lit(path), F.lit(modes.get(table, mode)),
+                     listed if modes.get(table, mode) == "days" else F.lit(None).cast("array<int>"),
+                     F.lit(self._tops.get(path)).cast("long"))
             for table, path in sorted(written.items())])
         entry = self.spark.range(0, 1, 1, 1).select(F.inline(records)).toDF(*_LOG.fieldNames())
         entry.write.mode("append").json(self._log_path)
@@ -113,7 +165,8 @@ class Warehouse:
         storage = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not storage.exists(root):
             return 0
-        live = {p.rstrip("/").rsplit("/", 1)[-1] for ps in self.snapshot().values() for p in ps}
+        live = {p.rstrip("/").rsplit("/", 1)[-1] for ps in self.snapshot().values()
+                for p in (x.path for x in ps)}
         gone = 0
         for table in storage.listStatus(root):
             if table.isDirectory() and table.getPath().getName() != "_publish_log":

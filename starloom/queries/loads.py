@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas as S
 from starloom.operators import validate
-from starloom.plans import jobs
+from starloom.plans import jobs, touched
 from starloom.plans.jobs import Batch, Calendar
 from starloom.plans.load import Warehouse
 from starloom.queries import standin as st
@@ -350,3 +350,51 @@ def scenario_dirty(spark, sf_dir):
         parts.append(validate.reject_metrics(good.unionByName(bad)).select(
             F.lit(name).alias("table_name"), "outcome", "n_rows"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_FOLLOWED = """
+SELECT c.campaign_id, d.date_key, d.total_orders, d.total_revenue, d.average_order_value,
+       d.unique_customers
+FROM campaign_days d JOIN dim_campaign_v c ON d.campaign_key = c.campaign_key
+"""
+
+
+@query("follow_late_campaign", _FOLLOWED)
+def follow_late_campaign(spark, sf_dir):
+    """The late campaign of ``scenario_late_campaign``, but only the days it touches are replaced."""
+    late = "2-HIGH"
+    campaigns, links = st.raw_campaigns(spark, sf_dir), st.raw_campaign_links(spark, sf_dir)
+    late_ids = links.filter(F.col("campaign_id") == late).select("order_id")
+    wh = _base(
+        _warehouse(spark, "follow-campaign"), sf_dir,
+        stg_campaign_data=st.stg_campaigns(spark, sf_dir).filter(F.col("campaign_id") != late),
+        stg_transactional_campaign_data=st.stg_campaign_links(spark, sf_dir).filter(
+            F.col("campaign_id") != late))
+    jobs.rebuild(wh, CALENDAR, by_day=True)
+    touched.follow(wh, [
+        Batch("stg_campaign_data", _csv(
+            campaigns.filter(F.col("Campaign_id") == late), "late-campaign")),
+        Batch("stg_transactional_campaign_data", _csv(
+            links.join(late_ids, "order_id", "left_semi"), "late-links")),
+    ], CALENDAR)
+    figures = wh.read("fact_campaign_performance", S.STAR["fact_campaign_performance"])
+    ids = wh.read("dim_campaign", S.STAR["dim_campaign"]).select("campaign_key", "campaign_id")
+    return st.money_as_double(figures.join(ids, "campaign_key").select(
+        "campaign_id", "date_key", "total_orders", "total_revenue", "average_order_value",
+        "unique_customers"), "total_revenue", "average_order_value")
+
+
+@query("follow_new_orders", """
+SELECT order_id, date_key, total_amount::DOUBLE AS total_amount FROM fact_orders_v
+""")
+def follow_new_orders(spark, sf_dir):
+    """The orders of the last month arrive behind their lines; their days alone are replaced."""
+    raw = st.raw_orders(spark, sf_dir)
+    day = F.col("transaction_date")
+    history = st.stg_orders(spark, sf_dir).filter(day < "2001-07-01")
+    wh = _base(_warehouse(spark, "follow-orders"), sf_dir, stg_order_data=history)
+    jobs.rebuild(wh, CALENDAR, by_day=True)
+    touched.follow(wh, [Batch("stg_order_data", _csv(
+        raw.filter(day >= "2001-07-01"), "last-month"))], CALENDAR)
+    return st.money_as_double(wh.read("fact_orders", S.STAR["fact_orders"]).select(
+        "order_id", "date_key", "total_amount"), "total_amount")
