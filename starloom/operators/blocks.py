@@ -18,15 +18,18 @@ from starloom import schemas as S
 from starloom.session import materialise
 
 _BLOCK = "_block"
+_TIE = "_running"
 
 
 def range_blocks(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
     """The rows, written once, with a column ``block``: runs of about equal length in ``order``.
 
     Ranges are cut by the number of rows, so a busy key has many blocks. ``order`` begins with the
-    key and should tell rows apart; rows that it does not tell apart stay together.
+    key; rows that it does not tell apart, equal ones too, are cut by a running number.
     """
-    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    order = [*order, _TIE]
+    told = df.withColumn(_TIE, F.monotonically_increasing_id())
+    dealt = told.repartitionByRange(*order).sortWithinPartitions(*order).drop(_TIE)
     return materialise(dealt.withColumn("block", F.spark_partition_id()), name)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import schemas as S
-from starloom.operators import dedup, validate
+from starloom.operators import dedup, history, validate
 from starloom.plans import dims, facts, staging
 from starloom.plans.load import Load, Warehouse
 from starloom.session import side_by_side
@@ -99,7 +99,8 @@ def refuse_repeated_orders(orders: DataFrame, side: DataFrame, table: str) -> No
 
 def rebuild(
     wh: Warehouse, calendar: Calendar | None = None, on_orphans: str = "fail",
-    keep_keys: bool = False, by_day: bool = False,
+    keep_keys: bool = False, by_day: bool = False, versions_at: str | None = None,
+    versions_since: str | None = None,
 ) -> dict[str, int]:
     """Dimensions, then facts, from published staging; all nine tables become visible together.
 
@@ -109,6 +110,11 @@ def rebuild(
     ``keep_keys`` users, merchants and staff that are already published keep their keys and new
     ones are numbered after them. With ``by_day`` the facts are laid out by day, so that a later batch
     (``plans.touched``) reads only the days it touches.
+
+    With ``versions_at`` (a timestamp text) the users of this run are merged into the published table
+    ``user_versions`` as their state from that time on, and the user key of a fact is the key of the
+    version that was valid at the order's time. Users never seen before start at ``versions_since``
+    or else at ``versions_at``; an order before that has no user key.
     """
     if on_orphans not in ("fail", "quarantine"):
         raise ValueError(f"on_orphans is fail or quarantine, not {on_orphans!r}")
@@ -151,10 +157,21 @@ def rebuild(
     for table in ("stg_order_with_merchant_data", "stg_transactional_campaign_data",
                   "stg_order_delays"):
         refuse_repeated_orders(stg["stg_order_data"], stg[table], table)
+    versions = None
+    if versions_at is not None:
+        known_versions = wh.read("user_versions", S.USER_VERSIONS, now)
+        since = None if versions_since is None else F.lit(versions_since)
+        written["user_versions"], rows["user_versions"] = wh.write(
+            "user_versions", history.merge_versions(
+                known_versions, star["dim_user"].drop("user_key"), "source_user_id",
+                F.lit(versions_at), "version_key", since))
+        versions = spark.read.schema(S.USER_VERSIONS).parquet(written["user_versions"]).select(
+            F.col("source_user_id").alias("user_id"), F.col("version_key").alias("user_key"),
+            "valid_from", "valid_to")
     head = facts.order_headers(
         stg["stg_order_data"], stg["stg_order_with_merchant_data"],
         stg["stg_transactional_campaign_data"], stg["stg_order_delays"],
-        star["dim_user"], star["dim_merchant"], star["dim_staff"], star["dim_campaign"])
+        star["dim_user"], star["dim_merchant"], star["dim_staff"], star["dim_campaign"], versions)
     # headers feed the items and the order fact: computed once, kept as a written table
     head_path, _ = wh.write("_order_headers", head)
     head = spark.read.schema(head.schema).parquet(head_path)

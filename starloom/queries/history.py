@@ -71,3 +71,35 @@ def current_versions(spark, sf_dir):
     """Members found by a run are valid from its time on."""
     users = st.table(spark, sf_dir, "customer").select(st.text("c_custkey").alias("user_id"))
     return h.current_versions(users, F.lit("2024-05-06 07:08:09").cast("timestamp_ntz"))
+
+
+@query("merge_versions", """
+WITH told AS (
+  SELECT c_custkey AS k, c_custkey::VARCHAR AS user_id, c_name AS name,
+         CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS segment,
+         CASE WHEN c_custkey % 3 = 0 THEN 'MOVED' WHEN c_custkey % 4 <> 0 THEN c_mktsegment END
+             AS later
+  FROM customer)
+SELECT user_id, name, segment, TIMESTAMP '1995-01-01' AS valid_from,
+       CASE WHEN k % 7 = 0 OR k % 3 = 0 THEN TIMESTAMP '1998-01-01' END AS valid_to,
+       NOT (k % 7 = 0 OR k % 3 = 0) AS is_current
+FROM told WHERE k % 5 <> 0
+UNION ALL
+SELECT user_id, name, later, TIMESTAMP '1998-01-01', NULL, true
+FROM told WHERE k % 7 <> 0 AND (k % 5 = 0 OR k % 3 = 0)
+""")
+def merge_versions(spark, sf_dir):
+    """Two loads of customers: some move, some are gone, some are new in the second."""
+    k = F.col("c_custkey")
+    rows = st.table(spark, sf_dir, "customer").select(
+        k, st.text(k).alias("user_id"), F.col("c_name").alias("name"),
+        F.when(k % 4 != 0, F.col("c_mktsegment")).alias("segment"))
+    first = rows.filter(k % 5 != 0).drop("c_custkey")
+    second = rows.filter(k % 7 != 0).withColumn(
+        "segment", F.when(k % 3 == 0, "MOVED").otherwise(F.col("segment"))).drop("c_custkey")
+    table = spark.createDataFrame([], "version_key long, user_id string, name string, "
+                                  "segment string, valid_from timestamp_ntz, "
+                                  "valid_to timestamp_ntz, is_current boolean")
+    for state, at in ((first, "1995-01-01"), (second, "1998-01-01")):
+        table = h.merge_versions(table, state, "user_id", F.lit(at), "version_key")
+    return table.drop("version_key")

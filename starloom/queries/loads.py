@@ -398,3 +398,23 @@ def follow_new_orders(spark, sf_dir):
         raw.filter(day >= "2001-07-01"), "last-month"))], CALENDAR)
     return st.money_as_double(wh.read("fact_orders", S.STAR["fact_orders"]).select(
         "order_id", "date_key", "total_amount"), "total_amount")
+
+
+@query("scenario_user_versions", """
+SELECT o.order_id, CASE WHEN o.transaction_date >= TIMESTAMP '1996-01-01' THEN u.name END AS name,
+       CASE WHEN o.transaction_date < TIMESTAMP '1996-01-01' THEN NULL
+            WHEN o.transaction_date >= TIMESTAMP '1998-01-01' AND u.user_type = 'building'
+            THEN 'Newtown' ELSE u.city END AS city
+FROM stg_orders o LEFT JOIN dim_user_v u ON o.user_id = u.source_user_id
+""")
+def scenario_user_versions(spark, sf_dir):
+    """A segment of users moves between two runs; orders name the user as of their time."""
+    wh = _base(_warehouse(spark, "user-versions"), sf_dir)
+    jobs.rebuild(wh, CALENDAR, versions_at="1997-01-01", versions_since="1996-01-01")
+    moved = F.when(F.col("user_type") == "building", "Newtown").otherwise(F.col("city"))
+    wh.full_refresh("stg_user_data", st.stg_users(spark, sf_dir).withColumn("city", moved))
+    jobs.rebuild(wh, CALENDAR, keep_keys=True, versions_at="1998-01-01")
+    who = wh.read("user_versions", S.USER_VERSIONS).select(
+        F.col("version_key").alias("user_key"), "name", "city")
+    return wh.read("fact_orders", S.STAR["fact_orders"]).join(who, "user_key", "left").select(
+        "order_id", "name", "city")

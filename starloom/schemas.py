@@ -131,6 +131,11 @@ STAR = {
         unique_customers=INT),
 }
 
+# Who a user was, and when: published by a rebuild that keeps versions.
+USER_VERSIONS = _table(
+    version_key=KEY, **{f.name: f.dataType for f in STAR["dim_user"].fields[1:]},
+    valid_from=STAMP, valid_to=STAMP, is_current=FLAG)
+
 # Constraints of the star schema: unique columns, columns that may not be NULL, references.
 UNIQUE = {
     "stg_order_data": ("order_id",),
@@ -146,7 +151,7 @@ UNIQUE = {
 }
 GENERATED_KEYS = frozenset({
     "user_key", "merchant_key", "staff_key", "product_key", "campaign_key", "order_key",
-    "order_item_key", "campaign_perf_key"})
+    "order_item_key", "campaign_perf_key", "version_key"})
 NOT_NULL = {
     "dim_user": ("source_user_id",),
     "dim_merchant": ("source_merchant_id",),
