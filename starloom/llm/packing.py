@@ -298,22 +298,31 @@ class WordCoder:
             found += [ids[a:b].tobytes() for a, b in zip(starts, [*hits.tolist(), len(ids)])]
         return found
 
-    def _learn(self, words: list[bytes]) -> None:
-        cache, stems, others = self.cache, {}, []
-        for word in words:
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """Ids of new words; short ones are remembered from now on."""
+        stems, places, tails, others = [], [], [], []
+        found: list[bytes] = [b""] * len(words)
+        for i, word in enumerate(words):
             w = word.decode("utf-8", "replace")
             stem = w.rstrip(_TAIL)
             # below U+0130 lower case is one letter for one, whatever stands beside it
             if stem.isalpha() and (stem.isascii() or max(stem) < "\u0130"):
-                stems[word] = stem.lower(), w[len(stem):]
+                stems.append(stem.lower())
+                places.append(i)
+                tails.append(w[len(stem):])
             else:
-                others.append((word, w))
-        fresh = list({s for s, _ in stems.values()})
+                others.append(i)
+        coded_tails = {t: self.whole(t) for t in set(tails)}
+        fresh = list(dict.fromkeys(stems))
         coded = dict(zip(fresh, self._letters(fresh)))
-        tails = {t: self.whole(t) for t in {t for _, t in stems.values()}}
-        for word, (stem, tail) in stems.items():
-            cache[word] = coded[stem] + tails[tail]
-        cache.update(zip([word for word, _ in others], self._others([w for _, w in others])))
+        for i, stem, tail in zip(places, stems, tails):
+            found[i] = coded[stem] + coded_tails[tail] if tail else coded[stem]
+        for i, ids in zip(others, self._others(
+                [words[i].decode("utf-8", "replace") for i in others])):
+            found[i] = ids
+        self.cache.update(
+            (w, ids) for w, ids in zip(words, found) if len(w) <= 2 * CACHED_LETTERS)
+        return found
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
@@ -330,15 +339,13 @@ class WordCoder:
         words = [joined[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist())]
         if len(self.cache) > CACHE_WORDS:
             self.cache = {}
-        cache = self.cache
-        self._learn([w for w in words if w not in cache])
-        coded = [cache[w] for w in words]
-        for w in words:
-            if len(w) > 2 * CACHED_LETTERS:
-                cache.pop(w, None)
+        coded = list(map(self.cache.get, words))
+        new = [i for i, ids in enumerate(coded) if ids is None]
+        for i, ids in zip(new, self._learn([words[i] for i in new])):
+            coded[i] = ids
 
         # the ids of the distinct words end to end, then gathered for every word
-        sizes = np.array([len(c) // 4 for c in coded], np.int64)
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         ids = np.frombuffer(b"".join(coded), "<u4")
         begins = np.cumsum(sizes) - sizes
         n = sizes[kind]
