@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import schemas as S
+from starloom.functions.dates import has_offset, read_shapes
 
 
 def trim_ws(c: Column) -> Column:
@@ -72,13 +73,30 @@ def digits_only(c: Column) -> Column:
 def decimal_from_text(c: Column) -> Column:
     """Number or NULL; "free", "inf" and numbers that the storage type cannot hold exactly are NULL.
 
-    Nothing is rounded: ``inexact_number`` tells those numbers from texts that are none.
+    A binary float that prints with 16 or 17 digits is the number of its first 15, which is what its
+    source wrote: 0.30000000000000004 is 0.3. Decimal texts with as many digits are no such floats.
+    Nothing else is rounded: ``inexact_number`` tells those numbers from texts that are none.
     """
     text = F.trim(c.cast("string"))
+    number = text.try_cast("double")
+    short = F.format_string("%.14e", number).try_cast("double")
+    return F.coalesce(_exact(text), F.when(
+        _printed_float(text, number, short), _exact(short.cast("string"))))
+
+
+def _exact(text: Column) -> Column:
     money = text.try_cast(S.MONEY)
     return F.when(money == text.try_cast(S.WIDE_NUMBER), money)
 
 
+def _printed_float(text: Column, number: Column, short: Column) -> Column:
+    """A binary float printed with the 16 or 17 digits that tell it from its neighbours, which lie
+    within two steps (2^-52 of its size) of the number of 15 digits."""
+    digits = F.regexp_replace(F.regexp_replace(text, "[eE].*$", ""), "[^0-9]|^[-+0.]+", "")
+    near = F.abs(number - short) <= F.abs(short) * F.lit(2.0 ** -51)
+    return number.isNotNull() & F.length(digits).between(16, 17) & near
+
+
 def inexact_number(c: Column) -> Column:
     """True for a finite number that ``decimal_from_text`` refuses, with too many digits."""
     number = F.trim(c.cast("string")).try_cast("double")
@@ -98,14 +116,16 @@ def strip_quotes(c: Column) -> Column:
 def to_stamp(c: Column) -> Column:
     """Timestamp without zone from a date or a date-time text, row by row; bad text is NULL.
 
-    ISO spellings first, then those of ``schemas.DATE_FORMATS``.
+    ISO spellings first, then those of ``schemas.DATE_FORMATS``, then the shapes of ``dates``. A time
+    with an offset becomes the time in UTC.
     """
     text = F.trim(c.cast("string"))
     named = F.lit(None).cast(S.STAMP)
     for pattern, spelling in reversed(S.DATE_FORMATS):
         read = F.try_to_timestamp(text, F.lit(spelling)).cast(S.STAMP)
         named = F.when(text.rlike(pattern), read).otherwise(named)
-    return F.coalesce(c.try_cast(S.STAMP), named)
+    plain = F.coalesce(c.try_cast(S.STAMP), named, read_shapes(text))
+    return F.when(has_offset(text), read_shapes(text)).otherwise(plain)
 
 
 def to_date_lenient(c: Column) -> Column:

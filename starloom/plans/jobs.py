@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom import functions as fn
 from starloom import schemas as S
 from starloom.operators import dedup, history, validate
 from starloom.plans import dims, facts, staging
@@ -52,6 +54,22 @@ _CHECKED = {
     "stg_line_item_data_products": (staging.check_line_products, lambda df: df),
 }
 
+#: Tables whose rows all stay, while those with a reason are shown among the rejects as well.
+_NOTED = {
+    "stg_line_item_data_prices": (staging.check_line_prices, staging.kept_line_prices),
+    "stg_campaign_data": (staging.check_campaigns, staging.kept_campaigns),
+}
+
+#: Date columns as sources spell them, in the order of their words.
+_DATES = ("transaction_date", "creation_date", "birthdate")
+
+
+def settled(raw: DataFrame) -> DataFrame:
+    """Raw rows whose date columns have one order of day and month; an undecidable one is refused."""
+    names = [c for c in raw.columns
+             if re.sub("[^a-z]+", "_", c.strip().lower()).strip("_") in _DATES]
+    return fn.settle_day_order(raw, names)
+
 
 def load_staging(wh: Warehouse, sources: Mapping[str, Sequence[Source]]) -> dict[str, dict]:
     """Read, clean and replace staging tables from their source files, all at once.
@@ -61,14 +79,16 @@ def load_staging(wh: Warehouse, sources: Mapping[str, Sequence[Source]]) -> dict
     """
     frames = {}
     for table, specs in sources.items():
-        slices = [read_source(wh.spark, spec, n) for n, spec in enumerate(specs)]
-        if table not in _CHECKED:
+        slices = [settled(read_source(wh.spark, spec, n)) for n, spec in enumerate(specs)]
+        if table not in _CHECKED and table not in _NOTED:
             frames[table] = stage(table, slices)
             continue
-        check, finish = _CHECKED[table]
+        if table in _NOTED and table not in _MANY and len(slices) != 1:
+            raise ValueError(f"{table} takes exactly one source")
+        check, finish = (_CHECKED | _NOTED)[table]
         path, _ = wh.write(f"{table}_checked", union_slices([check(s) for s in slices]))
         checked = wh.spark.read.parquet(path)
-        frames[table] = finish(validate.accepted(checked))
+        frames[table] = finish(checked if table in _NOTED else validate.accepted(checked))
         frames[f"{table}_rejects"] = validate.rejected(checked)
     return wh.full_refresh_all(frames)
 
@@ -259,7 +279,7 @@ def append_batch(wh: Warehouse, batch: Batch) -> dict:
     source = Source(
         path, batch.format, tuple(S.STAGING[batch.table].fieldNames()), "csv",
         batch.options)
-    raw = read_source(wh.spark, source)
+    raw = settled(read_source(wh.spark, source))
     if batch.kind == "dirty":
         return wh.append_isolated(batch.table, _dirty(batch.table, raw))
     rules = {"late": _late, "test": _test}[batch.kind]

@@ -86,14 +86,33 @@ def stage_line_products(slices: Sequence[DataFrame]) -> DataFrame:
     return union_slices([validate.accepted(check_line_products(s)) for s in slices])
 
 
-def _line_prices(df: DataFrame) -> DataFrame:
+def check_line_prices(df: DataFrame) -> DataFrame:
+    """Price lines with a reason where a number cannot be stored; ``raw_price`` keeps its text.
+
+    Such a line stays in the table with a missing price, because the n-th price line belongs to the
+    n-th product line.
+    """
     prepared = _prepared(df, "stg_line_item_data_prices")
     source = prepared.schema["quantity"].dataType
     cleaned = prepared.withColumns({
+        "raw_price": F.col("price").cast("string"),
         "price": fn.decimal_from_text(F.col("price")),
+        validate.INEXACT: F.coalesce(fn.inexact_number(F.col("price")), F.lit(False)),
         "quantity": fn.digits_to_int(F.col("quantity"), source),
     })
-    return _staged(cleaned, "stg_line_item_data_prices")
+    typed = headers.conform(cleaned, S.STAGING["stg_line_item_data_prices"], [
+        S.POSITION, "raw_price", validate.INEXACT])
+    return validate.with_reasons(typed, {"inexact_price": F.col(validate.INEXACT)}, [
+        "price", "raw_price", validate.INEXACT]).drop(validate.INEXACT)
+
+
+def kept_line_prices(checked: DataFrame) -> DataFrame:
+    """All price lines, whatever their reasons."""
+    return _staged(checked, "stg_line_item_data_prices")
+
+
+def _line_prices(df: DataFrame) -> DataFrame:
+    return kept_line_prices(check_line_prices(df))
 
 
 def stage_line_prices(slices: Sequence[DataFrame]) -> DataFrame:
@@ -121,6 +140,30 @@ def stage_campaigns(df: DataFrame) -> DataFrame:
     return _staged(cleaned, "stg_campaign_data")
 
 
+def check_campaigns(df: DataFrame) -> DataFrame:
+    """Campaigns with a reason where a discount cannot be stored; ``raw_discount`` keeps its text."""
+    renamed = headers.rename_synonyms(headers.drop_junk_columns(df), headers.CAMPAIGN_SYNONYMS)
+    raw = (F.col("discount").cast("string") if "discount" in renamed.columns
+           else F.lit(None).cast("string"))
+    digits = F.regexp_replace(raw, S.NOT_DIGIT_OR_DOT, "")
+    told = renamed.withColumns({
+        "raw_discount": raw, validate.INEXACT: F.coalesce(fn.inexact_number(digits), F.lit(False))})
+    filled = headers.fill_missing_columns(told, S.STAGING["stg_campaign_data"])
+    cleaned = filled.withColumns({
+        "discount": fn.discount(F.col("discount")),
+        "campaign_description": fn.strip_quotes(F.col("campaign_description")),
+    })
+    typed = headers.conform(cleaned, S.STAGING["stg_campaign_data"], [
+        "raw_discount", validate.INEXACT])
+    return validate.with_reasons(typed, {"inexact_discount": F.col(validate.INEXACT)}, [
+        "discount", "raw_discount", validate.INEXACT]).drop(validate.INEXACT)
+
+
+def kept_campaigns(checked: DataFrame) -> DataFrame:
+    """All campaigns, whatever their reasons."""
+    return _staged(checked, "stg_campaign_data")
+
+
 def stage_campaign_links(df: DataFrame, day_only: bool = False) -> DataFrame:
     """Order-campaign links. Late batches carry a day instead of a timestamp (``day_only``)."""
     schema = S.STAGING["stg_transactional_campaign_data"]

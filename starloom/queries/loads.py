@@ -418,3 +418,27 @@ def scenario_user_versions(spark, sf_dir):
         F.col("version_key").alias("user_key"), "name", "city")
     return wh.read("fact_orders", S.STAR["fact_orders"]).join(who, "user_key", "left").select(
         "order_id", "name", "city")
+
+
+@query("refresh_price_rejects", """
+SELECT l_orderkey::VARCHAR AS order_id,
+       CASE l_linenumber % 3 WHEN 0 THEN round(l_extendedprice, 2) WHEN 1 THEN NULL ELSE 0.3 END::DOUBLE
+           AS price,
+       CASE WHEN l_linenumber % 3 = 1 THEN 'inexact_price' ELSE '' END AS reject_reasons
+FROM lineitem
+""")
+def refresh_price_rejects(spark, sf_dir):
+    """Line prices: printed floats load as their number, too long decimals are shown as rejects."""
+    n = F.col("l_linenumber") % 3
+    text = F.when(n == 0, st.text(F.round("l_extendedprice", 2).cast("decimal(18,2)"))).when(
+        n == 1, "0.1234567890123").otherwise("0.30000000000000004")
+    path = scratch_path(spark, "prices")
+    st.table(spark, sf_dir, "lineitem").select(
+        st.text("l_orderkey").alias("order_id"), text.alias("price"),
+        st.text(F.col("l_quantity").cast("int")).alias("quantity")).write.parquet(path)
+    wh = _warehouse(spark, "price-rejects")
+    jobs.load_staging(wh, {"stg_line_item_data_prices": [Source(path, "parquet")]})
+    kept = wh.read("stg_line_item_data_prices").filter("price IS NOT NULL").select(
+        "order_id", "price", F.lit("").alias("reject_reasons"))
+    shown = wh.read("stg_line_item_data_prices_rejects").select("order_id", "price", "reject_reasons")
+    return kept.unionByName(shown).withColumn("price", F.col("price").cast("double"))

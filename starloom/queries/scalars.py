@@ -136,3 +136,22 @@ FROM lineitem
 def date_key(spark, sf_dir):
     return st.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", fn.date_key(F.col("l_shipdate")).alias("date_key"))
+
+
+@query("scalar_date_shapes", r"""
+SELECT event_id, CASE event_id % 8 WHEN 0 THEN ts::DATE::TIMESTAMP WHEN 1 THEN ts::DATE::TIMESTAMP
+            WHEN 2 THEN ts::DATE::TIMESTAMP WHEN 3 THEN date_trunc('second', ts)
+            WHEN 4 THEN date_trunc('minute', ts) WHEN 5 THEN date_trunc('second', ts) - INTERVAL 2 HOUR
+            WHEN 6 THEN ts::DATE::TIMESTAMP ELSE date_trunc('minute', ts) END AS stamp
+FROM events
+""")
+def scalar_date_shapes(spark, sf_dir):
+    """A column of many shapes, whose dates that end with the year begin with the day."""
+    k = F.col("event_id")
+    spellings = ["dd-MM-yyyy", "yyyy.MM.dd", "d/M/yy", "yyyy-MM-dd hh:mm:ss a", "MMM d, yyyy H:mm",
+                 "yyyy-MM-dd'T'HH:mm:ss'+02:00'", "EEE, dd MMM yyyy", "d/M/yyyy h:mm a"]
+    raw = F.lit(None).cast("string")
+    for i, spelling in enumerate(spellings):
+        raw = F.when(k % 8 == i, F.date_format("ts", spelling)).otherwise(raw)
+    told = st.table(spark, sf_dir, "events").select(k, raw.alias("stamp"))
+    return fn.settle_day_order(told, ["stamp"]).withColumn("stamp", fn.to_stamp(F.col("stamp")))
