@@ -36,7 +36,11 @@ MOST_WORDS = 5
 PARTITION_MASS, SPARE = 1 << 27, 2
 
 #: Hashes that a task gathers before it hands them on as summaries.
-GATHERED = 1 << 22
+GATHERED = 1 << 21
+
+#: Summaries keep the upper 48 bits of a hash; sorted, their steps fit into 32. Runs that share them
+#: are counted together in the first pass, which only lets more of them survive.
+_SHORT = np.uint64(16)
 
 #: Keys in one row of a summary, since rows travel to Python many at once.
 IN_ROW = 4096
@@ -114,19 +118,25 @@ def _summaries(batches: Iterator[pd.DataFrame], partitions: int) -> Iterator[pd.
         held.clear()
         every.sort()
         heads = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
-        keys, counts = every[heads], np.diff(np.r_[heads, len(every)]).astype(np.int32)
-        part = (keys >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)
-        cuts = np.searchsorted(part, np.arange(partitions + 1, dtype=np.uint64))
-        rows = [(p, keys[i:min(i + IN_ROW, b)].tobytes(), counts[i:min(i + IN_ROW, b)].tobytes())
-                for p, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist()))
-                for i in range(a, b, IN_ROW)]
-        return pd.DataFrame(rows, columns=["p", "keys", "counts"])
+        keys, counts = every[heads], np.diff(np.r_[heads, len(every)]).astype(np.uint32)
+        part = ((keys >> np.uint64(16)) * np.uint64(partitions)) >> np.uint64(32)
+        steps = np.diff(keys)
+        # a row ends with its partition, after so many keys, and before a step of more than 32 bits
+        cuts = np.unique(np.r_[
+            0, np.arange(0, len(keys), IN_ROW), len(keys),
+            np.flatnonzero((part[1:] != part[:-1]) | (steps >> np.uint64(32) > 0)) + 1])
+        steps = steps.astype(np.uint32)
+        return pd.DataFrame([
+            (p, first, steps[i:j - 1].tobytes(), counts[i:j].tobytes())
+            for p, first, i, j in zip(part[cuts[:-1]].tolist(), keys[cuts[:-1]].tolist(),
+                                      cuts[:-1].tolist(), cuts[1:].tolist())],
+            columns=["p", "first", "steps", "counts"])
 
     for _, runs in _tables(batches):
         state = None
         for n in range(1, MOST_WORDS + 1):
             at, state = runs.of(n, state)
-            held.append(state[at])
+            held.append(state[at] >> _SHORT)
         if sum(map(len, held)) >= GATHERED:
             yield flush()
     if any(map(len, held)):
@@ -183,11 +193,12 @@ def _merged(batches: Iterator[pd.DataFrame], threshold: int, capacity: int
     """Survivors of each hash partition; rows of a partition follow each other."""
     now, summary = None, Summary(threshold, capacity)
     for batch in batches:
-        for p, keys, counts in batch.itertuples(index=False):
+        for p, first, steps, counts in batch.itertuples(index=False):
             if p != now:
                 yield pd.DataFrame({"key": summary.survivors().view(np.int64)})
                 now, summary = p, Summary(threshold, capacity)
-            summary.add(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int32).astype(np.int64))
+            keys = np.cumsum(np.r_[np.uint64(first), np.frombuffer(steps, np.uint32)], dtype=np.uint64)
+            summary.add(keys, np.frombuffer(counts, np.uint32).astype(np.int64))
     yield pd.DataFrame({"key": summary.survivors().view(np.int64)})
 
 
@@ -203,7 +214,7 @@ def survivors(docs: DataFrame, threshold: int) -> DataFrame:
                      math.ceil(mass / PARTITION_MASS))
     capacity = SPARE * (mass // partitions // threshold + 1)
     parts = docs.mapInPandas(
-        lambda b: _summaries(b, partitions), "p long, keys binary, counts binary")
+        lambda b: _summaries(b, partitions), "p long, first long, steps binary, counts binary")
     return parts.repartition(partitions, "p").sortWithinPartitions("p").mapInPandas(
         lambda b: _merged(b, threshold, capacity), "key long")
 
@@ -233,7 +244,7 @@ def _counted(batches: Iterator[pd.DataFrame], bits: np.ndarray) -> Iterator[pd.D
         state = None
         for n in range(1, MOST_WORDS + 1):
             at, state = runs.of(n, state)
-            place = state[at] & places
+            place = (state[at] >> _SHORT) & places
             at = at[(bits[(place >> np.uint64(6)).astype(np.int64)].view(np.uint64)
                      >> (place & np.uint64(63))) & np.uint64(1) == 1]
             if not len(at):
