@@ -50,15 +50,29 @@ def whole_text(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+#: Steps of an analysed plan after which a row of a file is still one row.
+_ROW_FOR_ROW = {"Project", "Filter", "SubqueryAlias", "Relation", "LogicalRelation", "View"}
+
+
+def _plain_scan(df: DataFrame) -> bool:
+    """Whether the rows are those of one scan of files, each once at most."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.children().size() == 1 and plan.nodeName() in _ROW_FOR_ROW:
+        plan = plan.children().apply(0)
+    return plan.children().size() == 0 and plan.nodeName() in _ROW_FOR_ROW
+
+
 def with_locator(df: DataFrame) -> DataFrame:
     """Adds ``LOCATOR`` struct(file, row): where a row's content lies, the same on every read.
 
-    A frame read from files uses their own paths and row numbers. Any other frame is written to the
-    shared folder first, with numbers that no longer change. A frame that has the column keeps it.
+    A frame that is a scan of files, with columns and rows chosen from it, uses their own paths and
+    row numbers. Behind anything else (a join, an explode, a union) such places need not be unique,
+    so the frame is written to the shared folder first, with numbers that no longer change. A frame
+    that has the column keeps it.
     """
     if LOCATOR in df.columns:
         return df
-    if "_metadata" not in df.columns:
+    if "_metadata" not in df.columns and _plain_scan(df):
         try:
             return df.select("*", F.struct(
                 F.col("_metadata.file_path").alias("file"),

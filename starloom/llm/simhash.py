@@ -471,6 +471,34 @@ def near_components(
         F.col("id").alias(id_col), "fp", F.col("name").alias("component_id"))
 
 
+def one_of_each(
+    docs: DataFrame, radius: int = 3, words: int = 3, text: str = "text", id_col: str = "doc_id",
+) -> DataFrame:
+    """``docs`` with one row of each component of near-duplicates, all columns as they were.
+
+    Components are those of ``near_components``: fingerprints of ``words``-word shingles link at
+    ``radius`` or fewer differing bits. The row with the least id stays (rows without id last, equal
+    ids by place). Missing texts and texts without words have fingerprint 0 and link like any other;
+    texts are read whole, however long. An empty table gives no rows; other columns, whatever their
+    names, are kept.
+    """
+    located = with_locator(docs)
+    rows = materialise(with_fingerprint(located.select(
+        F.col(id_col).alias("id"), F.col(text).alias("text"), LOCATOR), words).select(
+        id_order("id").alias("row"), "fp"), "fingerprints")
+    nodes = materialise(rows.groupBy("fp").agg(
+        F.min("row").alias("least"), F.count(F.lit(1)).alias("copies")), "nodes")
+    found = connected_components(links(nodes.select("fp"), radius))
+    grouped = materialise(nodes.join(found, F.col("fp") == F.col("node"), "left").filter(
+        "component IS NOT NULL OR copies > 1").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component")), "grouped")
+    # written, so that the joins below can split a large component
+    stays = materialise(grouped.groupBy("component").agg(F.min("least").alias("stays")), "stays")
+    named = materialise(grouped.join(stays, "component").select("fp", "stays"), "named")
+    goes = rows.join(named, "fp").filter("row <> stays").select(F.col("row.at").alias(LOCATOR))
+    return located.join(goes, LOCATOR, "left_anti").select(*docs.columns)
+
+
 # -- near-duplicates with a check of the texts ----------------------------------------------
 
 

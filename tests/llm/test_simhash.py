@@ -259,3 +259,17 @@ def test_connected_components(spark):
             parent[y] = x
     assert got == {i: root(i) for i in parent}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_least_of_each_component_stays(spark, rows):
+    """Against the components by brute force, with clashing columns, repeated ids and rows."""
+    docs = spark.createDataFrame(rows, DOC_SCHEMA).withColumns({
+        c: F.lit(7) for c in ("fp", "row", "least", "component", "stays")})
+    named = {r["doc_id"]: r["component_id"] for r in S.near_components(docs, 3).collect()}
+    stay = S.one_of_each(docs.repartition(4), 3)
+    assert stay.columns == docs.columns
+    assert sorted(r["doc_id"] for r in stay.collect()) == sorted(
+        i for i, c in named.items() if i == c)
+    twice = docs.union(docs)
+    assert S.one_of_each(twice, 3).count() == stay.count()
+    assert S.one_of_each(docs.limit(0), 3).count() == 0
