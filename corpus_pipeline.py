@@ -12,9 +12,8 @@ from starloom.llm.common import table
 from starloom.llm.queries import MOST_EPOCHS, sentencepiece_model
 from starloom.session import materialise
 
-#: Links of the near-duplicate stage are proposed up to this many differing bits of fingerprints of
-#: three-word shingles, and count from this Jaccard similarity of five-word shingles.
-RADIUS, SHINGLE_WORDS, LEAST_SIMILARITY, CHECK_WORDS = 7, 3, 0.8, 5
+#: Fingerprints of three-word shingles link at so many differing bits or fewer.
+RADIUS, SHINGLE_WORDS = 3, 3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,9 +29,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.without_near_duplicates(
-        docs, RADIUS, SHINGLE_WORDS, LEAST_SIMILARITY, CHECK_WORDS)
+    """One document of each component of near-duplicates."""
+    return simhash.one_of_each(docs, RADIUS, SHINGLE_WORDS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
