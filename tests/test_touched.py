@@ -109,7 +109,7 @@ def test_followed_batches_equal_a_rebuild(spark, put, tmp_path):
     assert first["days"] is None
     keys = {r["order_id"]: r["order_key"] for r in wh.read("fact_orders").collect()}
     # members that known orders already name, later lines of known orders, new orders
-    steps = [shop.members(6, 8), shop.lines(["O1", "O2", "O39", "O777"], 8), shop.sales(5, 9),
+    steps = [shop.members(6, 8) + shop.lines(["O1", "O2", "O39", "O777"], 8), shop.sales(5, 9),
              shop.sales(90, 9, lines=False)]
     for batches in steps:
         done = touched.follow(wh, batches, CALENDAR)
