@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,8 +31,10 @@ SEED = 20240611
 CLASSES = 128
 _OWN = 60
 
-#: Texts bundled by one matrix product.
+#: Texts bundled by one matrix product, kinds of trigrams in it, and letters read at once.
 PRODUCT_TEXTS = 128
+PRODUCT_TRIGRAMS = 8192
+PIECE_LETTERS = 1 << 20
 
 UNDETERMINED = "und"
 
@@ -92,22 +95,58 @@ def trigrams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return (before * CLASSES + own[middle]) * CLASSES + after, owner[middle]
 
 
-def bundles(texts: Sequence[str], dimensions: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bundle of each text (float32, exact whole numbers) and its number of trigrams."""
-    codes, owner = trigrams(texts)
+def pieces(text: str) -> Iterator[np.ndarray]:
+    """The trigram codes of a long text, piece by piece; each is in exactly one piece."""
+    for start in range(0, len(text), PIECE_LETTERS):
+        end = min(len(text), start + PIECE_LETTERS)
+        codes, _ = trigrams([text[start:end]])
+        classes = letter_classes()
+        # the outer neighbours of the first and the last letter belong to other pieces
+        if len(codes) and start and classes[ord(text[start])]:
+            codes[0] += int(classes[ord(text[start - 1])]) * CLASSES * CLASSES
+        if len(codes) and end < len(text) and classes[ord(text[end - 1])]:
+            codes[-1] += int(classes[ord(text[end])])
+        yield codes
+
+
+def _bundle(codes: np.ndarray, owner: np.ndarray, n: int, dimensions: int) -> np.ndarray:
+    """Sums of the trigram vectors per owner (float64, exact), some kinds of trigrams at a time."""
+    total = np.zeros((n, dimensions))
     used = np.zeros(CLASSES ** 3, bool)
     used[codes] = True
     distinct = np.flatnonzero(used)
     place = np.zeros(CLASSES ** 3, np.int32)
     place[distinct] = np.arange(len(distinct))
-    n = max(1, len(distinct))
-    counts = np.bincount(
-        owner.astype(np.int64) * n + place[codes], minlength=len(texts) * n)
-    counts = counts.reshape(len(texts), n)
-    sums = counts.sum(1)
-    if not len(distinct):
-        return np.zeros((len(texts), dimensions), np.float32), sums
-    return counts.astype(np.float32) @ trigram_vectors(distinct, dimensions), sums
+    places = place[codes]
+    if len(distinct) > PRODUCT_TRIGRAMS:
+        order = np.argsort(places, kind="stable")
+        places, owner = places[order], owner[order]
+    for at in range(0, len(distinct), PRODUCT_TRIGRAMS):
+        some = distinct[at:at + PRODUCT_TRIGRAMS]
+        here = slice(None)
+        if len(distinct) > PRODUCT_TRIGRAMS:
+            here = slice(*np.searchsorted(places, [at, at + PRODUCT_TRIGRAMS]))
+        counts = np.bincount(
+            owner[here].astype(np.int64) * len(some) + places[here] - at, minlength=n * len(some))
+        total += counts.reshape(n, -1).astype(np.float32) @ trigram_vectors(some, dimensions)
+    return total
+
+
+def bundles(texts: Sequence[str], dimensions: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bundle of each text (float64, exact whole numbers) and its number of trigrams.
+
+    Texts longer than a piece are bundled piece by piece, so memory is bounded for any script.
+    """
+    short = [t if len(t) <= PIECE_LETTERS else "" for t in texts]
+    codes, owner = trigrams(short)
+    sums = np.bincount(owner, minlength=len(texts)).astype(np.int64)
+    vectors = _bundle(codes, owner, len(texts), dimensions)
+    for i, text in enumerate(texts):
+        if len(text) > PIECE_LETTERS:
+            for codes in pieces(text):
+                vectors[i] += _bundle(codes, np.zeros(len(codes), np.int32), 1, dimensions)[0]
+                sums[i] += len(codes)
+    return vectors, sums
 
 
 @dataclass(frozen=True)
@@ -124,7 +163,6 @@ class Profiles:
         for part in portions(texts, PRODUCT_TEXTS):
             vectors, sums[part] = bundles(texts[part], self.prototypes.shape[1])
             if self.languages:
-                vectors = vectors.astype(np.float64)
                 norms = np.maximum(np.sqrt((vectors * vectors).sum(1)), 1e-12)
                 cosines = vectors @ self.prototypes.T / norms[:, None]
                 best[part] = cosines.argmax(1)
@@ -180,12 +218,10 @@ def learn(
 def _bundle_of_all(texts: list[str], dimensions: int) -> np.ndarray:
     total = np.zeros(dimensions)
     for part in portions(texts, PRODUCT_TEXTS):
-        codes, _ = trigrams(texts[part])
-        counts = np.bincount(codes, minlength=1)
-        distinct = np.flatnonzero(counts)
-        for at in range(0, len(distinct), 8192):
-            some = distinct[at:at + 8192]
-            total += counts[some].astype(np.float32) @ trigram_vectors(some, dimensions)
+        short = [t for t in texts[part] if len(t) <= PIECE_LETTERS]
+        for codes in chain([trigrams(short)[0]] if short else [], *[
+                pieces(t) for t in texts[part] if len(t) > PIECE_LETTERS]):
+            total += _bundle(codes, np.zeros(len(codes), np.int32), 1, dimensions)[0]
     return total
 
 
@@ -196,8 +232,8 @@ def predict(
 
     lang is `und` if the text is missing or has no letter (or nothing was learned). score is the
     cosine cut to 0 to 1. known is false if there is no letter, or if a text of some length has a
-    cosine no larger than that of unrelated vectors, so it resembles no learned language. The whole text counts, however long; equal texts get equal
-    results; ties go to the first language by alphabet.
+    cosine no larger than that of unrelated vectors, so it resembles no learned language. The whole
+    text counts, however long; equal texts get equal results; ties go to the first language by alphabet.
     """
     text_batches(docs.sparkSession)
     least = UNRELATED_DEVIATIONS / np.sqrt(profiles.prototypes.shape[1] or 1)

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -84,3 +85,27 @@ def test_nothing_learned(spark, docs):
     profiles = L.learn(empty)
     assert profiles.languages == []
     assert {r["language"]["lang"] for r in L.predict(docs.limit(3), profiles).collect()} == {"und"}
+
+
+def test_pieces_and_parts_of_trigrams_change_nothing(monkeypatch):
+    rng = random.Random(3)
+    letters = "abcxyzéßДЖ漢字 -1" + "".join(map(chr, range(0x4E00, 0x4E80)))
+    texts = ["".join(rng.choices(letters, k=k)) for k in (0, 1, 9, 10, 11, 400, 1001)]
+    monkeypatch.setattr(L, "PIECE_LETTERS", 10)
+    monkeypatch.setattr(L, "PRODUCT_TRIGRAMS", 16)
+    found, n = L.bundles(texts, 64)
+    for t, v, k in zip(texts, found, n):
+        assert (v == brute_force_bundle(t, 64)).all() and k == sum(ch.isalpha() for ch in t)
+    assert (L._bundle_of_all(texts, 64) == sum(brute_force_bundle(t, 64) for t in texts)).all()
+
+
+def test_a_long_text_of_many_scripts_needs_little_memory():
+    rng = np.random.default_rng(2)
+    points = rng.integers(0x4E00, 0x9000, 3_000_000).astype(np.uint32)
+    text = points.tobytes().decode("utf-32-le")
+    L.letter_classes()
+    tracemalloc.start()
+    _, n = L.bundles([text], L.DIMENSIONS)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n[0] == len(text) and most < 400 << 20
