@@ -12,9 +12,11 @@ from __future__ import annotations
 import functools
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -121,7 +123,14 @@ class Lexicon:
         found, covered = [], []
         for last, (length, weight) in machine.iter(text):
             (covered if weight is None else found).append((last + 1 - length, last + 1, weight))
-        return [m for m in found if not any(s <= m[0] and m[1] <= e for s, e, _ in covered)]
+        if not covered:
+            return found
+        # of the exceptions that start at a match or before it, the one that reaches furthest
+        covered.sort(key=lambda c: c[0])
+        starts = [c[0] for c in covered]
+        reach = list(accumulate((c[1] for c in covered), max))
+        return [m for m in found
+                if not (k := bisect_right(starts, m[0])) or reach[k - 1] < m[1]]
 
     def features(self, text: str) -> tuple[float, float]:
         """Logarithms of the weight sum and of the weight per 100 words; one weight per place."""
@@ -307,8 +316,9 @@ def _phrases(text: str, start: int, end: int) -> Iterator[str]:
     """The word of a match with the word before it and with the word after it."""
     stop = text.index(" ", max(start + 1, end - 1))
     word = text[start + 1:stop]
-    before = text[:start].rsplit(" ", 1)[-1] if start else ""
-    after = text[stop + 1:].split(" ", 1)[0]
+    before = text[text.rfind(" ", 0, start) + 1:start] if start else ""
+    following = text.find(" ", stop + 1)
+    after = text[stop + 1:following if following >= 0 else len(text)]
     if before:
         yield f" {before} {word} "
     if after:

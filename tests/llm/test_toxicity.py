@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,3 +83,32 @@ def test_the_sample_is_bounded(corpus):
     assert sample.count() == 50 and sample.select("__id").distinct().count() == 50
     whole = T.labelled_sample(labels, "doc_id", "toxic", 10**6)
     assert whole.filter(F.col("__id").isNull() | F.col("__label").isNull()).count() == 0
+
+
+def naive_matches(lexicon, text):
+    found = [(i, i + len(p), w) for p, w in lexicon.entries for i in range(len(text)) if text.startswith(p, i)]
+    covered = [(i, i + len(p)) for p in lexicon.exceptions for i in range(len(text)) if text.startswith(p, i)]
+    return sorted(m for m in found if not any(s <= m[0] and m[1] <= e for s, e in covered))
+
+
+def test_matches_against_a_naive_matcher():
+    rng = random.Random(4)
+    lexicon = T.Lexicon(((" ab", 1.0), (" abc ", 2.0), (" b ", 0.5), (" ca", 3.0)),
+                        (" ab c ", " c ab ", " b ca ", " abc b ca "))
+    for _ in range(300):
+        text = f" {' '.join(rng.choices(['ab', 'abc', 'b', 'c', 'ca', 'cab'], k=rng.randint(0, 12)))} "
+        assert sorted(lexicon.matches(text)) == naive_matches(lexicon, text)
+        for s, e, _ in lexicon.matches(text):
+            words = text.split()
+            at = text[:s + 1].count(" ") - 1
+            assert list(T._phrases(text, s, e)) == [
+                f" {a} {b} " for a, b in zip(words, words[1:])][max(0, at - 1):at + 1]
+
+
+def test_many_matches_and_exceptions_take_seconds():
+    lexicon = T.Lexicon(((" bad", 1.0),), (" not bad ",))
+    text = " bad not bad" * 100_000 + " "
+    start = time.monotonic()
+    found = lexicon.matches(text)
+    assert len(found) == 100_000 and all(len(list(T._phrases(text, s, e))) for s, e, _ in found)
+    assert time.monotonic() - start < 20
