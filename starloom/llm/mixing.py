@@ -21,7 +21,8 @@ from starloom.session import materialise
 #: Halvings of the interval of the power; four of them are one job when entropies are asked for.
 STEPS = 40
 
-#: A block holds about this many tokens; a source has at most so many blocks, larger beyond.
+#: A block holds about this many tokens, and no more rows of texts that have none; a source has at
+#: most so many blocks, larger beyond.
 BLOCK_TOKENS, MOST_BLOCKS = 1 << 17, 1 << 16
 
 
@@ -114,7 +115,7 @@ def quotas(totals: DataFrame, temperature: Temperature) -> DataFrame:
         "rounds": F.when(F.col("total") > 0, F.floor(F.col("quota") / F.col("total")))
         .otherwise(1).cast("int"),
         "blocks": F.least(F.lit(MOST_BLOCKS), F.greatest(
-            F.lit(1), F.ceil(F.col("total") / BLOCK_TOKENS))).cast("int"),
+            F.lit(1), F.ceil(F.greatest("total", "rows") / BLOCK_TOKENS))).cast("int"),
     }).withColumn("rest", F.when(
         F.col("total") > 0, F.col("quota") - F.col("rounds") * F.col("total")).otherwise(0))
 
@@ -130,7 +131,10 @@ def permuted(rows: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
     position is the share of the source's quota that comes before the row, so sorting by it mixes
     the sources evenly. Windows cover one block, or the blocks of one source and epoch.
     """
-    dealt = F.conv(F.substring(_mark(seed, F.lit("block"), F.col("id")), 1, 8), 16, 10).cast("long")
+    by = F.col("id").cast("string")
+    if LOCATOR in rows.columns:  # rows without id are dealt by their places
+        by = F.coalesce(by, F.concat_ws("/", f"{LOCATOR}.file", F.col(f"{LOCATOR}.row").cast("string")))
+    dealt = F.conv(F.substring(_mark(seed, F.lit("block"), by), 1, 8), 16, 10).cast("long")
     joined = rows.join(
         plan.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")))
     joined = joined.withColumn("block", F.pmod(dealt, F.col("blocks")).cast("int"))
@@ -167,8 +171,8 @@ def draws(
 
     Every row of ``docs`` is drawn at least once; rows of sources whose weight exceeds their share
     are drawn again, up to the quota. A missing source is a source of its own; a missing text has no
-    tokens. Rows of equal id fall into one block and follow each other by place. Other columns are
-    not read. An empty table gives no rows.
+    tokens. Rows of equal id fall into one block and follow each other by place, rows without id
+    are spread over all blocks of their source. Other columns are not read. An empty table gives no rows.
     """
     located = with_locator(docs)
     rows = materialise(located.select(

@@ -118,7 +118,7 @@ ORACLES["op8_mixing"] = f"""
         SELECT doc_id, source,
                len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
         FROM documents),
-    totals AS (SELECT source, sum(tokens)::BIGINT AS total FROM words GROUP BY source),
+    totals AS (SELECT source, sum(tokens)::BIGINT AS total, count(*) AS n FROM words GROUP BY source),
     s AS (SELECT sum(total)::BIGINT AS t, min(total) AS lo, max(total) AS hi
           FROM totals WHERE total > 0),
     halves(step, low, high) AS (
@@ -137,7 +137,7 @@ ORACLES["op8_mixing"] = f"""
         SELECT source, total,
                round(CASE WHEN total > 0 THEN pow(total / t, a) / z ELSE 0 END
                      * t * pow(hi / t, 1 - a) * z)::BIGINT AS quota,
-               least({mixing.MOST_BLOCKS}, greatest(1, ceil(total / {mixing.BLOCK_TOKENS})))::INT
+               least({mixing.MOST_BLOCKS}, greatest(1, ceil(greatest(total, n) / {mixing.BLOCK_TOKENS})))::INT
                    AS blocks
         FROM totals, s, power, z),
     cut AS (

@@ -101,3 +101,11 @@ def test_one_source_empty_table_and_repeated_rows(spark, docs):
 def test_no_python_in_the_plan(docs):
     plan = M.draws(docs, max_epochs=2.0)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_rows_without_words_or_ids_are_spread_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_TOKENS", 50)
+    rows = [(None, None, "en", "hot", 0)] * 1000 + [(i, "a b", "en", "s", 0) for i in range(100)]
+    drawn = M.draws(spark.createDataFrame(rows, DOC_SCHEMA).repartition(4), max_epochs=2.0).filter("source = 'hot'")
+    sizes = [r["count"] for r in drawn.groupBy("block").count().collect()]
+    assert sum(sizes) == 1000 and len(sizes) > 12 and max(sizes) < 150
