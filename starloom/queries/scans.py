@@ -66,6 +66,26 @@ def scan_csv_mixed_headers(spark, sf_dir):
     return sources.read_csv(spark, path).drop(S.POSITION)
 
 
+@query("scan_csv_quoted_breaks", """
+SELECT o_orderkey::VARCHAR AS order_id,
+       CASE o_orderkey % 4 WHEN 0 THEN 'first "one"' || chr(10) || 'last, ' || o_orderkey
+                           WHEN 1 THEN '6" pipe' WHEN 2 THEN 'plain' END AS note,
+       o_orderstatus AS status
+FROM orders
+""")
+def scan_csv_quoted_breaks(spark, sf_dir):
+    """Records over two lines, doubled quotes and quotes inside plain fields, split among tasks."""
+    k = F.col("o_orderkey")
+    path = scratch_path(spark, "csv-breaks")
+    note = F.when(k % 4 == 0, F.concat(F.lit('"first ""one""\nlast, '), st.text(k), F.lit('"'))).when(
+        k % 4 == 1, '6" pipe').when(k % 4 == 2, "plain").otherwise("")
+    record = F.concat_ws(",", st.text(k), note, "o_orderstatus")
+    st.table(spark, sf_dir, "orders").select(
+        F.explode(F.split(record, "\n")).alias("order_id,note,status")).write.csv(
+        path, header=True, sep="\t", quote="")
+    return sources.read_csv(spark, path).drop(S.POSITION)
+
+
 @query("scan_csv_ragged", """
 SELECT c_custkey::VARCHAR AS user_id,
        CASE WHEN c_custkey % 5 = 0 THEN c_custkey || ',' || c_name || ',EXTRA'

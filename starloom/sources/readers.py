@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 
 from starloom import schemas as S
 from starloom.functions import null_tokens
+from starloom.session import materialise
+from starloom.sources.csv_records import csv_lines, csv_records, has_bare_returns
 from starloom.sources.html import extract_first_table, html_columns
 from starloom.sources.position import (
     make_position,
@@ -44,18 +46,22 @@ def read_parquet(
 DAMAGED = "_damaged"
 
 
-def _csv_layouts(spark: SparkSession, path: str) -> list[tuple[str, list[str], bool]]:
+def _csv_layouts(spark: SparkSession, path: str) -> list[tuple[str, list[str] | str, bool]]:
     """(header, files, whether a line has an odd number of quotes) per distinct header line.
 
-    One scan of the lines; what comes back are the headers and the names of the files.
+    One scan of the lines. Where all files are alike, only their header comes back and ``files`` is
+    ``path``; else the names of the files come too.
     """
     quotes = F.length("value") - F.length(F.translate("value", '"', ""))
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"),
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
         (quotes % 2 == 1).alias("odd")).filter(F.trim("value") != "")
-    files = lines.groupBy("file").agg(
-        F.min_by("value", "at").alias("header"), F.bool_or("odd").alias("odd"))
+    files = materialise(lines.groupBy("file").agg(
+        F.min_by("value", "at").alias("header"), F.bool_or("odd").alias("odd")), "csv-layouts")
+    layouts = files.select("header", "odd").distinct().limit(2).collect()
+    if len(layouts) == 1:
+        return [(layouts[0]["header"], path, layouts[0]["odd"])]
     found = files.groupBy("header", "odd").agg(F.sort_array(F.collect_list("file")).alias("files"))
     return sorted((r["header"], r["files"], r["odd"]) for r in found.collect())
 
@@ -67,23 +73,30 @@ def read_csv(
     """Comma-separated files with a header row; every column is text, null spellings are NULL.
 
     Files of a folder may list their columns in different orders: each is read by its own header,
-    columns that a file lacks are NULL. Files in which a line has an odd number of quotes hold line
-    breaks inside quotes and are read whole, as ``multi_line`` reads all files.
+    columns that a file lacks are NULL. Files in which a line has an odd number of quotes may hold
+    line breaks inside quotes: their lines are put together to records first, by as many tasks as
+    the files have splits (see ``sources.csv_records``). Read whole, one task a file, are only files
+    with a line break in their header or with carriage returns alone, and all with ``multi_line``.
     A record with too many or too few fields ends the job, or, with ``damaged``, comes with its text
     in the column ``_damaged``.
     """
-    layouts = _csv_layouts(spark, path)
-    if len(layouts) < 2:
-        whole = multi_line or any(odd for _, _, odd in layouts)
-        return _csv_files(spark, path, slice_no, whole, damaged)
-    return union_slices([
-        _csv_files(spark, files, slice_no, multi_line or odd, damaged)
-        for _, files, odd in layouts])
+    parts = [
+        _csv_files(spark, files, slice_no, multi_line, damaged, header if odd else None)
+        for header, files, odd in _csv_layouts(spark, path) or [("", path, False)]]
+    return parts[0] if len(parts) == 1 else union_slices(parts)
 
 
 def _csv_files(
-    spark: SparkSession, paths: str | list[str], slice_no: int, multi_line: bool, damaged: bool
+    spark: SparkSession, paths: str | list[str], slice_no: int, multi_line: bool, damaged: bool,
+    odd_header: str | None = None,
 ) -> DataFrame:
+    """Files of one header; ``odd_header`` is that line, if quotes may span lines."""
+    lines = None
+    if odd_header is not None and not multi_line:
+        multi_line = odd_header.count('"') % 2 == 1
+        if not multi_line:
+            lines = csv_lines(spark, paths, slice_no)
+            multi_line = has_bare_returns(lines)
     reader = spark.read.option("header", True).option("escape", '"').option(
         "multiLine", multi_line).option("columnPruning", False)
     names = reader.option("inferSchema", False).csv(paths).columns
@@ -93,6 +106,10 @@ def _csv_files(
         "mode": "FAILFAST"}
     if not names:  # empty files
         return _nulls(with_text_position(reader.csv(paths), slice_no))
+    if lines is not None and not multi_line:
+        ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in fields)
+        row = F.from_csv("value", ddl, {"escape": '"', **mode}).alias("_row")
+        return _nulls(csv_records(lines).select(row, S.POSITION).select("_row.*", S.POSITION))
     df = reader.options(**mode).schema(schema).csv(paths)
     return _nulls(with_text_position(df, slice_no))
 

@@ -1,4 +1,5 @@
 import json
+import random
 import time
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas as S
 from starloom import sources
-from starloom.sources import Source
+from starloom.sources import Source, position
 from starloom.sources.html import first_table
 
 
@@ -34,6 +35,52 @@ def test_csv_line_breaks_in_quotes(spark, tmp_path):
     assert data(sources.read_csv(spark, path)) == [("1", "x\ny"), ("2", "z")]
 
 
+BROKEN_FIELDS = [
+    "x", "", '"a,b"', '"say ""hi"""', '"two\nlines"', '"\n\n"', '"q""\n""q,\nend"', '5" pipe', 'a"b"c',
+    '"""\n"""', '""', " pad ", '"late"tail', '"\na"tail', "N/A", '"' + "long\n" * 30 + '"']
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_records_over_many_splits_equal_the_whole_file(spark, tmp_path, end, monkeypatch):
+    rng = random.Random(7)
+    lines = ["id,left,right"]
+    for i in range(1200):
+        if rng.random() < 0.02:
+            lines.append("")
+        cells = [rng.choice(BROKEN_FIELDS if rng.random() < 0.3 else ["plain", "z"]) for _ in "ab"]
+        lines.append(",".join([str(i), *cells]))
+    path = tmp_path / "a.csv"
+    path.write_text(end.join(lines) + end, encoding="utf-8", newline="")
+    whole = data(sources.read_csv(spark, str(path), multi_line=True))
+    monkeypatch.setattr(position, "BLOCK_BITS", 6)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = sources.read_csv(spark, str(path))
+        found = data(df)
+        splits = df.select(f"{S.POSITION}.block").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert splits > 10 and len(found) == 1200
+    assert found == whole
+
+
+@pytest.mark.parametrize("text", [
+    'a,b\n1,"x\ny"\n2,"open\n3,z', 'a,"b\nc"\n1,"x\ny"\n', 'a,b\r1,"x\ry"\r2,z\r'])
+def test_csv_quotes_that_stay_open_or_span_the_header(spark, tmp_path, text):
+    path = tmp_path / "a.csv"
+    path.write_text(text, encoding="utf-8", newline="")
+    assert data(sources.read_csv(spark, str(path), damaged=True)) == data(
+        sources.read_csv(spark, str(path), multi_line=True, damaged=True))
+
+
+def test_csv_broken_records_with_line_breaks(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'a,b\n"x\ny",1,EXTRA\n2,U2\n')
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        sources.read_csv(spark, path).collect()
+    found = [(r["a"], r["_damaged"]) for r in sources.read_csv(spark, path, damaged=True).orderBy("a").collect()]
+    assert found == [("2", None), ("x\ny", '"x\ny",1,EXTRA')]
+
+
 def test_csv_folder_with_two_column_orders(spark, tmp_path):
     for name, text in (("a", "order_id,user_id\nO1,U1\n"), ("b", "user_id,order_id,more\nU2,O2,x\n"),
                        ("c", 'order_id,user_id\nO3,"U\n3"\n')):
