@@ -16,9 +16,11 @@ sequence and offset by itself from a plan whose size does not depend on the numb
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import math
 import re
+import string
 import zlib
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -214,12 +216,25 @@ def runs(patterns: Sequence[tuple[Pattern, int]]) -> list[tuple[int, int, int, i
     return found
 
 
-_TAIL = ".,;:!?"
 #: White space to the tokenizer, beyond the six characters of ASCII.
 _SPACES = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
+
+def _letter_tables(codes: range) -> tuple[np.ndarray, np.ndarray]:
+    """By the last byte of each letter: whether it is one, and the last byte of its lower case."""
+    letter, lower = np.zeros(256, bool), np.arange(256, dtype=np.uint8)
+    for c in map(chr, codes):
+        letter[c.encode()[-1]] = c.isalpha()
+        lower[c.encode()[-1]] = c.lower().encode()[-1]
+    return letter, lower
+
+
+# below U+0130 lower case is one letter for one with the same first byte, whatever stands beside it
+_LETTER, _LOWER = _letter_tables(range(0x80))
+_TWO_BYTES = {0xC3: _letter_tables(range(0xC0, 0x100)), 0xC4: _letter_tables(range(0x100, 0x130))}
+
 #: Stands between words that are coded together and may fall into several pieces of text.
 _FENCE = "\ue000"
 
@@ -227,14 +242,61 @@ _FENCE = "\ue000"
 CACHE_WORDS, CACHED_LETTERS = 400_000, 64
 
 
+def stretches(joined: bytes, is_mark: np.ndarray
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of words coded apart: all bytes, starts, stops, which ones are letters alone.
+
+    A word of letters from U+0041 to U+012F with marks behind them or none is a stretch of letters,
+    now in lower case, and one of marks. Any other word is one stretch as it stands. ``joined``
+    begins and ends with a blank; ``is_mark`` tells for each byte whether it is a mark.
+    """
+    flat = np.frombuffer(joined, np.uint8)
+    blank = _BLANK[flat]
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    stops = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+    letter, lower = _LETTER[flat], _LOWER[flat]
+    for lead, (is_last, lower_last) in _TWO_BYTES.items():
+        at = np.flatnonzero(flat == lead)
+        last = flat[at + 1]
+        letter[at] = letter[at + 1] = is_last[last]
+        lower[at + 1] = lower_last[last]
+
+    # marks at the end of a word are its last run of marks, if that reaches the end
+    mark = is_mark[flat]
+    begins = np.flatnonzero(mark[1:] & ~mark[:-1]) + 1
+    ends = stops.copy()
+    marked = np.flatnonzero(mark[stops - 1])
+    ends[marked] = begins[np.searchsorted(begins, stops[marked] - 1, "right") - 1]
+    letters_upto = np.zeros(len(flat) + 1, np.uint32)  # of a word fewer, so they may wrap
+    np.cumsum(letter, dtype=np.uint32, out=letters_upto[1:])
+    plain = (ends > starts) & (letters_upto[ends] - letters_upto[starts] == ends - starts)
+    ends = np.where(plain, ends, stops)
+    if not plain.all():
+        inside = np.zeros(len(flat), np.int8)
+        inside[starts[~plain]] = 1
+        inside[stops[~plain]] = -1
+        np.copyto(lower, flat, where=np.cumsum(inside, dtype=np.int8).view(bool))
+
+    tailed = ends < stops
+    at = np.arange(len(starts)) + np.cumsum(tailed) - tailed
+    behind = at[tailed] + 1
+    found = np.empty((2, len(starts) + len(behind)), np.int64)
+    found[:, at] = starts, ends
+    found[:, behind] = ends[tailed], stops[tailed]
+    letters = np.zeros(found.shape[1], bool)
+    letters[at] = plain
+    return lower, found[0], found[1], letters
+
+
 class WordCoder:
     """Ids of whole texts, as the tokenizer gives them, with each distinct word coded once.
 
     For tokenizers that drop white space and end every run of letters with a marked piece: no id
-    depends on what lies behind a blank. Distinct words of a batch are found by hashes over its flat
-    bytes, which are then compared. New words are coded together, since a call costs more than a
-    word: words of letters are cut apart at the marked ends, full stops and commas behind them are
-    coded once for all, and other words are cut apart at a fence that no word holds.
+    depends on what lies behind a blank. Letters are coded apart from the marks behind them and in
+    lower case, so that a word is coded once for all its spellings. Distinct words of a batch are
+    found by hashes over its flat bytes, which are then compared. New words are coded together,
+    since a call costs more than a word: words of letters are cut apart at the marked ends, and
+    other words are cut apart at a fence that no word holds.
     """
 
     def __init__(self, path: str):
@@ -248,15 +310,23 @@ class WordCoder:
         self.letters.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        if not mark or any(
-                self.whole(f"{w}, cd") != self.whole(w) + self.whole(",") + self.whole("\n cd")
-                or self.whole(w) != self._ids(self.letters, w.lower()).tobytes()
+        marks = [m for m in string.punctuation if all(
+            self.whole(f"{w}{m} cd") == self.whole(w) + self.whole(m) + self.whole("\n cd")
+            for w in ("ab", "Ça"))]
+        if not mark or "," not in marks or any(
+                self.whole(w) != self._ids(self.letters, w.lower()).tobytes()
                 for w in ("ab", "Ça")):
             raise ValueError("only tokenizers that drop white space and mark word ends are read")
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith(mark)
                               for i in range(self.tokenizer.get_vocab_size())])
         self.fence = self.whole(_FENCE)
-        self.cache: dict[bytes, bytes] = {}
+        self.is_mark = np.isin(np.arange(256), list("".join(marks).encode()))
+        self._forget()
+
+    def _forget(self) -> None:
+        # ids of the word with number k: flat[upto[k]:upto[k + 1]]
+        self.known: dict[bytes, int] = {}
+        self.flat, self.upto = np.zeros(1 << 16, "<u4"), np.zeros(1 << 14, np.int64)
 
     @staticmethod
     def _ids(tokenizer, text: str) -> np.ndarray:
@@ -266,89 +336,95 @@ class WordCoder:
     def whole(self, text: str) -> bytes:
         return self._ids(self.tokenizer, text).tobytes()
 
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, in lower case."""
-        found = []
-        for i in range(0, len(words), 4096):
-            some = words[i:i + 4096]
-            ids = self._ids(self.letters, " ".join(some))
-            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(ends) != len(some):
-                found += [self.whole(w) for w in some]
-                continue
-            raw = ids.tobytes()
-            found += [raw[a:b] for a, b in zip([0, *ends], ends)]
-        return found
-
-    def _others(self, words: list[str]) -> list[bytes]:
-        """Ids of any words."""
-        found = []
-        for i in range(0, len(words), 1024):
-            some = words[i:i + 1024]
-            ids = self._ids(self.tokenizer, f" {_FENCE} ".join(some))
-            fence = np.frombuffer(self.fence, "<u4")
-            k = len(fence)
-            hits = np.flatnonzero(np.all([
-                ids[j:len(ids) - k + 1 + j] == fence[j] for j in range(k)], axis=0)) if len(
-                    ids) >= k else np.zeros(0, int)
-            if len(hits) != len(some) - 1:
-                found += [self.whole(w) for w in some]
-                continue
-            starts = [0, *(hits + k).tolist()]
-            found += [ids[a:b].tobytes() for a, b in zip(starts, [*hits.tolist(), len(ids)])]
-        return found
-
-    def _learn(self, words: list[bytes]) -> list[bytes]:
-        """Ids of new words; short ones are remembered from now on."""
-        stems, places, tails, others = [], [], [], []
-        found: list[bytes] = [b""] * len(words)
-        for i, word in enumerate(words):
-            w = word.decode("utf-8", "replace")
-            stem = w.rstrip(_TAIL)
-            # below U+0130 lower case is one letter for one, whatever stands beside it
-            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0130"):
-                stems.append(stem.lower())
-                places.append(i)
-                tails.append(w[len(stem):])
-            else:
-                others.append(i)
-        coded_tails = {t: self.whole(t) for t in set(tails)}
-        fresh = list(dict.fromkeys(stems))
-        coded = dict(zip(fresh, self._letters(fresh)))
-        for i, stem, tail in zip(places, stems, tails):
-            found[i] = coded[stem] + coded_tails[tail] if tail else coded[stem]
-        for i, ids in zip(others, self._others(
-                [words[i].decode("utf-8", "replace") for i in others])):
-            found[i] = ids
-        self.cache.update(
-            (w, ids) for w, ids in zip(words, found) if len(w) <= 2 * CACHED_LETTERS)
-        return found
+    def _one_by_one(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [self._ids(self.tokenizer, w.decode("utf-8", "replace")) for w in words]
+        return np.concatenate(ids), np.array([len(i) for i in ids])
+
+    def _letters(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, in lower case, end to end, and how many each has."""
+        ids = self._ids(self.letters, b" ".join(words).decode())
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):
+            return self._one_by_one(words)
+        return ids, np.diff(ends, prepend=0)
+
+    def _others(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of any words, end to end, and how many each has."""
+        ids = self._ids(self.tokenizer, f" {_FENCE} ".join(
+            [w.decode("utf-8", "replace") for w in words]))
+        fence = np.frombuffer(self.fence, "<u4")
+        k = len(fence)
+        hits = np.flatnonzero(np.all([
+            ids[j:len(ids) - k + 1 + j] == fence[j] for j in range(k)], axis=0)) if len(
+                ids) >= k else np.zeros(0, int)
+        if len(hits) != len(words) - 1:
+            return self._one_by_one(words)
+        keep = np.ones(len(ids), bool)
+        keep[(hits[:, None] + np.arange(k)).ravel()] = False
+        return ids[keep], np.append(hits, len(ids)) - np.append(0, hits + k)
+
+    def _coded(self, words: list[bytes], letters: np.ndarray, places: np.ndarray
+               ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The words at some places, many at once: their places, ids end to end, numbers of ids."""
+        alone = letters[places]
+        for code, chosen, step in ((self._letters, places[alone], 4096),
+                                   (self._others, places[~alone], 1024)):
+            for i in range(0, len(chosen), step):
+                some = chosen[i:i + step]
+                yield some, *code([words[k] for k in some.tolist()])
+
+    def _learn(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Remembers words that are new; returns their numbers."""
+        first = len(self.known)
+        end = first + len(words)
+        at = self.upto[first]
+        if at + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 3 * (at + len(ids)) // 2)
+        if end >= len(self.upto):
+            self.upto = np.resize(self.upto, 3 * end // 2)
+        self.flat[at:at + len(ids)] = ids
+        self.upto[first + 1:end + 1] = at + np.cumsum(sizes)
+        self.known.update(zip(words, range(first, end)))
+        return np.arange(first, end)
+
+    def _found(self, words: list[bytes], letters: np.ndarray
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words: an array of ids, where a word's begin in it and how many it has.
+
+        Short words are remembered from now on.
+        """
+        if len(self.known) > CACHE_WORDS:
+            self._forget()
+        numbers = np.fromiter(
+            map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0)
+        short = np.fromiter((len(words[i]) <= 2 * CACHED_LETTERS for i in new.tolist()), bool)
+        for some, ids, sizes in self._coded(words, letters, new[short]):
+            numbers[some] = self._learn([words[k] for k in some.tolist()], ids, sizes)
+        begins = self.upto[numbers]
+        counts = self.upto[numbers + 1] - begins
+        at = self.upto[len(self.known)]
+        parts = [self.flat[:at]]
+        for some, ids, sizes in self._coded(words, letters, new[~short]):
+            begins[some] = at + np.cumsum(sizes) - sizes
+            counts[some] = sizes
+            at += len(ids)
+            parts.append(ids)
+        return np.concatenate(parts) if len(parts) > 1 else self.flat, begins, counts
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         raw = [(t if t.isascii() else _SPACES.sub(" ", t)).encode("utf-8", "replace")
                for t in texts]
-        joined = b" " + b" ".join(raw) + b" "
-        flat = np.frombuffer(joined, np.uint8)
-        blank = _BLANK[flat]
-        starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+        flat, starts, stops, letters = stretches(b" " + b" ".join(raw) + b" ", self.is_mark)
         if not len(starts):
             return [b""] * len(texts)
-        stops = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
         kind, first = distinct(flat, starts, stops)
-        words = [joined[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist())]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {}
-        coded = list(map(self.cache.get, words))
-        new = [i for i, ids in enumerate(coded) if ids is None]
-        for i, ids in zip(new, self._learn([words[i] for i in new])):
-            coded[i] = ids
-
-        # the ids of the distinct words end to end, then gathered for every word
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        ids = np.frombuffer(b"".join(coded), "<u4")
-        begins = np.cumsum(sizes) - sizes
-        n = sizes[kind]
+        joined = flat.tobytes()
+        ids, begins, counts = self._found(
+            [joined[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist())],
+            letters[first])
+        n = counts[kind]
         upto = np.cumsum(n)
         out = ids[np.repeat(begins[kind] - (upto - n), n) + np.arange(upto[-1])]
         borders = np.cumsum([1] + [len(r) + 1 for r in raw])

@@ -41,6 +41,34 @@ def test_words_are_coded_as_in_whole_texts(coder, library, odd_texts, words):
             ids_of(library, t) for t in texts]
 
 
+def test_spellings_of_a_word_are_coded_once(library, monkeypatch):
+    """Capitals and marks behind a word cost no further call of the tokenizer, in any batch."""
+    coder = packing.WordCoder(word_tokenizer())
+    coder.encode(["house été ātri , !? ###"])
+    coded = coder._ids
+    asked = []
+    monkeypatch.setattr(coder, "_ids", lambda t, text: asked.append(text) or coded(t, text))
+    texts = ["House HOUSE, house!? Été ÉTÉ### house", "", "Ātri, ĀTRI !?"]
+    assert [np.frombuffer(c, "<u4").tolist() for c in coder.encode(texts)] == [
+        ids_of(library, t) for t in texts]
+    assert asked == []
+
+
+def test_words_with_marks_and_long_words(library, monkeypatch):
+    """Also when remembered words are forgotten between batches."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 20)
+    coder = packing.WordCoder(word_tokenizer())
+    rng = random.Random(6)
+    letters = "abBÉéßÿ×÷ªµĀįİ'.,#&<|>_9漢ж\u0301"
+    for _ in range(20):
+        texts = [" ".join("".join(rng.choices(letters, k=rng.choice([1, 2, 5, 70, 200])))
+                          + rng.choice(["", ",", "'", "###", "<|", "'s"])
+                          for _ in range(rng.randint(0, 30))) for _ in range(8)]
+        texts.append("é" * 90 + "### " + "x" * 200 + "! y" + "#" * 200 + " <|ENDOFTEXT|>!")
+        assert [np.frombuffer(c, "<u4").tolist() for c in coder.encode(texts)] == [
+            ids_of(library, t) for t in texts]
+
+
 def uses_up(patterns, counts, capacity):
     used = Counter()
     for pattern, copies in patterns:
