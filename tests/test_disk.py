@@ -7,8 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom import schemas as S
-from starloom.plans import facts
-from starloom.session import materialise, materialise_made, side_by_side, spent_tables
+from starloom.plans import facts, touched
+from starloom.plans.jobs import Calendar, rebuild
+from starloom.plans.load import Warehouse
+from starloom.queries import ORACLES, QUERIES
+from starloom.session import materialise, materialise_made, scratch_path, side_by_side, spent_tables
+from tests.oracle import compare, duck
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture
@@ -117,3 +123,24 @@ def test_ranges_deal_every_day_once(spark, small_passes):
     assert sorted((x or 0) for xs in dealt for x in xs) == sorted((x or 0) for x in days)
     tops = [max(x or 0 for x in xs) for xs in dealt]
     assert len(dealt) > 1 and tops == sorted(set(tops))
+
+
+def test_parts_of_a_table_are_one_load(spark):
+    wh = Warehouse(spark, scratch_path(spark, "parts"))
+    one = spark.createDataFrame([(7, "a"), (9, "b")], "order_key long, order_id string")
+    path, n = wh.write("fact_orders", one, one.limit(0), one.limit(1))
+    wh.publish({"fact_orders": path})
+    assert n == 3 and wh.read("fact_orders").count() == 3 and wh.snapshot()["fact_orders"][0].top == 9
+
+
+def test_a_rebuild_leaves_nothing_but_its_tables(spark, own_scratch, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    rebuild(wh, Calendar("2024-01-01", "2024-01-31"), by_day=True)
+    assert own_scratch() == []
+    assert os.listdir(tmp_path / "wh" / "_order_headers") == []
+
+
+@pytest.mark.parametrize("name", ["follow_new_orders"])
+def test_followed_batches_in_passes(spark, monkeypatch, small_passes, name):
+    monkeypatch.setattr(touched, "LOOKED_UP", 0)
+    assert compare(QUERIES[name](spark, SF_DIR), duck(SF_DIR), ORACLES[name]) == []
