@@ -140,7 +140,7 @@ def test_a_rebuild_leaves_nothing_but_its_tables(spark, own_scratch, tmp_path):
     assert os.listdir(tmp_path / "wh" / "_order_headers") == []
 
 
-@pytest.mark.parametrize("name", ["follow_new_orders"])
+@pytest.mark.parametrize("name", ["follow_new_orders", "follow_late_campaign"])
 def test_followed_batches_in_passes(spark, monkeypatch, small_passes, name):
     monkeypatch.setattr(touched, "LOOKED_UP", 0)
     assert compare(QUERIES[name](spark, SF_DIR), duck(SF_DIR), ORACLES[name]) == []
