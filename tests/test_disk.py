@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from starloom import schemas as S
 from starloom.plans import facts, touched
-from starloom.plans.jobs import Calendar, rebuild
+from starloom.plans.jobs import Calendar, load_staging, rebuild
 from starloom.plans.load import Warehouse
 from starloom.queries import ORACLES, QUERIES
 from starloom.session import materialise, materialise_made, scratch_path, side_by_side, spent_tables
+from starloom.sources import Source
 from tests.oracle import compare, duck
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -140,6 +141,33 @@ def test_a_rebuild_leaves_nothing_but_its_tables(spark, own_scratch, tmp_path):
     assert os.listdir(tmp_path / "wh" / "_order_headers") == []
 
 
+def test_files_may_go_when_their_table_was_read(spark, own_scratch, tmp_path):
+    def file(name: str, *rows: str) -> Source:
+        (tmp_path / name).write_text("\n".join(rows) + "\n")
+        return Source(str(tmp_path / name), "csv")
+
+    sources = {
+        "stg_product_list": [file("products.csv", "product_id,product_name,product_type,price", "p1,Pen,a_b,2", ",x,y,1")],
+        "stg_user_data": [file("users.csv", "user_id,creation_date,name,street,state,city,country,birthdate,gender,"
+                               "device_address,user_type", "u1,2024-01-01,Ann,,,,,,,,", "u1,2024-02-01,Bea,,,,,,,,")],
+        "stg_line_item_data_prices": [file("prices.csv", "order_id,price,quantity", "o1,2.5,3")],
+    }
+    gone = []
+
+    def remove(table):
+        gone.append(table)
+        for source in sources[table]:
+            os.remove(source.path)
+
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    load_staging(wh, sources, remove)
+    assert sorted(gone) == sorted(sources) and gone[-1] == "stg_user_data"
+    assert own_scratch() == [] and os.listdir(tmp_path / "wh" / "stg_product_list_checked") == []
+    assert [r["product_id"] for r in wh.read("stg_product_list").collect()] == ["p1"]
+    assert wh.read("stg_product_list_rejects").count() == 1 and wh.read("stg_user_data").count() == 2
+    assert wh.read("stg_line_item_data_prices").count() == 1
+
+
 @pytest.mark.parametrize("name", ["follow_new_orders", "follow_late_campaign"])
 def test_followed_batches_in_passes(spark, monkeypatch, small_passes, name):
     monkeypatch.setattr(touched, "LOOKED_UP", 0)
